@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.operators.skew import By, ranked, running, same_keys
+from lakeworks.operators.skew import By, Cut, ranked, running, same_keys
 from lakeworks.runtime import mean, money, total
 
 
@@ -112,7 +112,7 @@ def percentiles(
     column: str,
     shares: Sequence[float],
     keys: Sequence[str] = (),
-    parts: int | None = None,
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Exact percentiles, interpolated between neighbouring values, per key or over all rows.
 
@@ -122,7 +122,7 @@ def percentiles(
     keys = list(keys)
     values = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_x"))
     counts = values.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
-    placed = running(counts, keys, [By("_x")], {"_upto": F.col("_n")}, parts)
+    placed = running(counts, keys, [By("_x")], {"_upto": F.col("_n")}, cut)
     if keys:
         sizes = values.groupBy(*keys).agg(F.count("*").alias("_rows"))
         placed = placed.alias("p").join(sizes.alias("z"), same_keys("p", "z", keys)).select("p.*", "z._rows")

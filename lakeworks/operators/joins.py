@@ -138,3 +138,16 @@ def enrich(fact: DataFrame, dim: DataFrame, keys: Sequence[str], defaults: Mappi
 
 def revenue_by(df: DataFrame, keys: Sequence[str], amount: str = "total_amount") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("orders"), total(amount).alias("revenue"))
+
+
+def for_each_value(df: DataFrame, values: DataFrame, max_values: int = 1000) -> DataFrame:
+    """Each row of a small frame once per value of a one-column value list.
+
+    The list becomes an array in the plan, so there is no join; a list beyond the bound is an
+    error, since the result would grow with its square.
+    """
+    name = values.columns[0]
+    listed = values.distinct()
+    if listed.limit(max_values + 1).count() > max_values:
+        raise ValueError(f"more than {max_values} values of {name}")
+    return df.withColumn(name, F.explode(listed.agg(F.array_agg(name)).scalar()))

@@ -1,7 +1,7 @@
 """Exact windows and joins for keys of any size.
 
-A plain `Window.partitionBy(key)` puts all rows of a key into one task. Here a key that holds
-more than 1/parts of all rows is *hot*: its rows are cut into slices that follow the window
+A plain `Window.partitionBy(key)` puts all rows of a key into one task. Here a key with too many
+rows for that (see `Cut`) is *hot*: its rows are cut into slices that follow the window
 order, each slice is worked on by itself, and what a slice needs from the others (counts, sums,
 neighbouring rows) comes from a summary with one row per slice. All other keys keep a single
 slice, so the whole frame is still shuffled once, by (key, slice).
@@ -15,6 +15,7 @@ Where no key is hot the plain window or join is used.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil, log2
 
@@ -24,11 +25,24 @@ from pyspark.sql import types as T
 
 from lakeworks.runtime import materialise
 
-MIN_PARTS = 1024
-MAX_PARTS = 8192
 TIE_FACTOR = 8  # ranges of the second order column per repeated cut of the first
 
 
+@dataclass(frozen=True)
+class Cut:
+    """When a key is hot: it holds more than 1/parts of all rows and more than `hot_rows` rows,
+    which is what one task sorts with ease. Rows of hot keys are cut to about 1/parts each."""
+
+    parts: int
+    hot_rows: int = 1_000_000
+
+    @staticmethod
+    def default(df: DataFrame) -> Cut:
+        """As many parts as shuffle partitions, within fixed bounds."""
+        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return Cut(max(1024, min(8192, shuffle)))
+
+
 class By:
     """One column of a window order. Nulls come first ascending and last descending."""
 
@@ -55,12 +69,6 @@ class By:
         return -column if self.desc else column
 
 
-def default_parts(df: DataFrame) -> int:
-    """How many shares the rows are cut into: the shuffle partitions, within fixed bounds."""
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_PARTS, min(MAX_PARTS, shuffle))
-
-
 def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
     """Null-safe equality of the named columns of two aliased frames."""
     return reduce(
@@ -69,24 +77,28 @@ def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
-    """Keys with more than 1/parts of all rows, and the `_share` of parts each would fill.
+def hot_keys(df: DataFrame, keys: Sequence[str], cut: Cut) -> DataFrame | None:
+    """Hot keys and the `_share` of parts each would fill, as a written table; None if none is.
 
     Counts are combined before the shuffle; fewer than `parts` rows come out.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    everything = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * parts > everything).select(
-        *keys, F.ceil(F.col("_rows") * parts / everything).cast("int").alias("_share")
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cut.hot_rows)
+    if counts.isEmpty():
+        return None
+    everything = df.agg(F.count("*")).scalar()
+    hot = counts.where(F.col("_rows") * cut.parts > everything).select(
+        *keys, F.ceil(F.col("_rows") * cut.parts / everything).cast("int").alias("_share")
     )
+    hot = materialise(hot, "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 # ------------------------------------------------------------------ cutting hot keys
 
 
 def _quantiles(column: Column, points: int) -> Column:
-    shares = F.expr("array(" + ",".join(f"{i}D/{points + 1}D" for i in range(1, points + 1)) + ")")
-    return F.percentile_approx(column, shares, 4 * points)
+    shares = ",".join(str(i / (points + 1)) for i in range(1, points + 1))
+    return F.percentile_approx(column, F.split(F.lit(shares), ",").cast("array<double>"), 4 * points)
 
 
 def _thin(edges: Column, share: Column, points: int) -> Column:
@@ -106,19 +118,21 @@ def _rank_in(edges: Column, value: Column, points: int, equal: bool = False) ->
     return F.aggregate(steps, F.lit(0), advance)
 
 
-def _cuts(df: DataFrame, keys: Sequence[str], parts: int, points: int) -> DataFrame | None:
+def _cuts(df: DataFrame, keys: Sequence[str], cut: Cut, points: int) -> DataFrame | None:
     """Cut points of the hot keys over columns `_v` and `_t`, written once; None if none is hot.
 
     The points are approximate quantiles: they only balance the slices, no result depends on them.
     """
     if keys:
-        hot = materialise(hot_keys(df, keys, parts), "hot-keys")
-        if hot.isEmpty():
+        hot = hot_keys(df, keys, cut)
+        if hot is None:
             return None
         heavy = df.alias("n").join(F.broadcast(hot).alias("h"), same_keys("n", "h", keys))
         heavy = heavy.select("n.*", "h._share")
+    elif df.limit(cut.hot_rows + 1).count() > cut.hot_rows:
+        heavy = df.withColumn("_share", F.lit(cut.parts))
     else:
-        heavy = df.withColumn("_share", F.lit(parts))
+        return None
     cuts = heavy.groupBy(*keys).agg(
         F.max("_share").alias("_share"),
         _quantiles(F.col("_v"), points).alias("_ve"),
@@ -138,18 +152,18 @@ class Sliced:
     """
 
     def __init__(
-        self, df: DataFrame, keys: Sequence[str], by: Sequence[By], parts: int | None = None
+        self, df: DataFrame, keys: Sequence[str], by: Sequence[By], cut: Cut | None = None
     ):
         self.keys, self.by, self.columns = list(keys), list(by), df.columns
-        parts = parts or default_parts(df)
-        points = 2 ** ceil(log2(parts + 1)) - 1
+        cut = cut or Cut.default(df)
+        points = 2 ** ceil(log2(cut.parts)) - 1
         first = by[0].position(df.schema)
         if first is None:
             raise TypeError(f"order column {by[0].name} must be a number, date or timestamp")
         second = by[1].position(df.schema) if len(by) > 1 else None
         second = F.lit(None).cast("double") if second is None else second
         cuts = _cuts(
-            df.select(*keys, first.alias("_v"), second.alias("_t")), self.keys, parts, points
+            df.select(*keys, first.alias("_v"), second.alias("_t")), self.keys, cut, points
         )
         self.hot = cuts is not None
         if not self.hot:
@@ -223,11 +237,11 @@ class Sliced:
 
 
 def ranked(
-    df: DataFrame, keys: Sequence[str], by: Sequence[By], parts: int | None = None
+    df: DataFrame, keys: Sequence[str], by: Sequence[By], cut: Cut | None = None
 ) -> DataFrame:
     """Add `row_number` (over all order columns), `rank` and `dense_rank` (over the first order
     column, ties share a rank) and `group_rows`, the number of rows of the key."""
-    s = Sliced(df, keys, by, parts)
+    s = Sliced(df, keys, by, cut)
     local = s.frame.withColumns(
         {
             "row_number": F.row_number().over(s.window()).cast("long"),
@@ -270,13 +284,13 @@ def running(
     keys: Sequence[str],
     by: Sequence[By],
     sums: Mapping[str, Column],
-    parts: int | None = None,
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Add running sums from the first row of the key to the current one.
 
     Pass whole numbers or decimals: those add up alike in any order.
     """
-    s = Sliced(df, keys, by, parts)
+    s = Sliced(df, keys, by, cut)
     frame = s.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = s.frame.withColumns({n: F.sum(c).over(frame) for n, c in sums.items()})
     if not s.hot:
@@ -305,7 +319,7 @@ def neighbours(
     back: Mapping[str, Callable] | None = None,
     ahead: Mapping[str, Callable] | None = None,
     reach: int = 1,
-    parts: int | None = None,
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Add columns that look at most `reach` rows back or ahead within a key.
 
@@ -313,7 +327,7 @@ def neighbours(
     `lambda w: F.lag("x", 1).over(w)` or `lambda w: F.sum("x").over(w.rowsBetween(-2, 0))`.
     """
     back, ahead = back or {}, ahead or {}
-    s = Sliced(df, keys, by, parts)
+    s = Sliced(df, keys, by, cut)
     w = s.window()
     made = {n: f(w) for n, f in {**back, **ahead}.items()}
     if not s.hot:
@@ -347,7 +361,7 @@ def skew_join(
     right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    parts: int | None = None,
+    cut: Cut | None = None,
     salts: int = 64,
 ) -> DataFrame:
     """Equi-join for a left side with hot keys and a right side with few rows per key.
@@ -359,9 +373,8 @@ def skew_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
-    parts = parts or default_parts(left)
-    hot = materialise(hot_keys(left.dropna(subset=list(keys)), keys, parts), "hot-keys")
-    if hot.isEmpty():
+    hot = hot_keys(left.select(*keys).dropna(), keys, cut or Cut.default(left))
+    if hot is None:
         return left.join(right, list(keys), how)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)).drop("_share"))
     salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)) + 1

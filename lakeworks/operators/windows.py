@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions.columns import change_percent, churn_risk, customer_segment
 from lakeworks.operators.aggregates import customer_360
-from lakeworks.operators.skew import By, neighbours, ranked, running, skew_join
+from lakeworks.operators.skew import By, Cut, neighbours, ranked, running, skew_join
 from lakeworks.runtime import money
 
 ORDER = (By("order_date"), By("order_id"))
@@ -44,7 +44,7 @@ def last_rows(df: DataFrame, keys: Sequence[str], by: Sequence[By], n: int) -> D
     return df.withColumn("recency", F.row_number().over(newest)).where(F.col("recency") <= n)
 
 
-def trend(df: DataFrame, amount: str = "total_amount", parts: int | None = None) -> DataFrame:
+def trend(df: DataFrame, amount: str = "total_amount", cut: Cut | None = None) -> DataFrame:
     """Per order: previous and next amount, days since the previous order, change in value and
     in percent."""
     out = neighbours(
@@ -54,7 +54,7 @@ def trend(df: DataFrame, amount: str = "total_amount", parts: int | None = None)
             "previous_date": lambda w: F.lag("order_date", 1).over(w),
         },
         ahead={"next_amount": lambda w: F.lead(amount, 1).over(w)},
-        parts=parts,
+        cut=cut,
     )
     return out.withColumns(
         {
@@ -65,11 +65,11 @@ def trend(df: DataFrame, amount: str = "total_amount", parts: int | None = None)
     )
 
 
-def running_totals(df: DataFrame, amount: str = "total_amount", parts: int | None = None) -> DataFrame:
+def running_totals(df: DataFrame, amount: str = "total_amount", cut: Cut | None = None) -> DataFrame:
     """Per order: running value, orders and mean of its customer."""
     out = running(
         df, ["customer_id"], ORDER,
-        {"_value": money(amount), "running_orders": F.lit(1).cast("long")}, parts,
+        {"_value": money(amount), "running_orders": F.lit(1).cast("long")}, cut,
     )
     value = F.col("_value").cast("double")
     return out.withColumns(
@@ -77,7 +77,7 @@ def running_totals(df: DataFrame, amount: str = "total_amount", parts: int | Non
     ).drop("_value")
 
 
-def moving_mean(df: DataFrame, rows: int, amount: str = "total_amount", parts: int | None = None) -> DataFrame:
+def moving_mean(df: DataFrame, rows: int, amount: str = "total_amount", cut: Cut | None = None) -> DataFrame:
     """Mean over the current and the `rows` - 1 orders before it."""
     frame = lambda w: w.rowsBetween(-(rows - 1), Window.currentRow)
     out = neighbours(
@@ -86,18 +86,18 @@ def moving_mean(df: DataFrame, rows: int, amount: str = "total_amount", parts: i
             "_value": lambda w: F.sum(money(amount)).over(frame(w)),
             "window_orders": lambda w: F.count(amount).over(frame(w)),
         },
-        reach=rows - 1, parts=parts,
+        reach=rows - 1, cut=cut,
     )
     return out.withColumn(
         "moving_mean", F.try_divide(F.col("_value").cast("double"), "window_orders")
     ).drop("_value")
 
 
-def remaining(df: DataFrame, amount: str = "total_amount", parts: int | None = None) -> DataFrame:
+def remaining(df: DataFrame, amount: str = "total_amount", cut: Cut | None = None) -> DataFrame:
     """Value from the current order to the last one of its customer (a frame that looks ahead):
     the running sum in the reverse order."""
     back = [By(b.name, not b.desc) for b in ORDER]
-    out = running(df, ["customer_id"], back, {"_value": money(amount)}, parts)
+    out = running(df, ["customer_id"], back, {"_value": money(amount)}, cut)
     return out.withColumn("remaining_value", F.col("_value").cast("double")).drop("_value")
 
 
@@ -121,9 +121,9 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> Dat
     return skew_join(df, df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), keys, "left")
 
 
-def quartiles(df: DataFrame, by: Sequence[By], tiles: int = 4, keys: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+def quartiles(df: DataFrame, by: Sequence[By], tiles: int = 4, keys: Sequence[str] = (), cut: Cut | None = None) -> DataFrame:
     """`tile` as ntile gives it and `percent_rank`, from exact places over any number of rows."""
-    out = ranked(df, keys, by, parts)
+    out = ranked(df, keys, by, cut)
     place, rows = F.col("row_number") - 1, F.col("group_rows")
     size, longer = F.floor(rows / tiles), rows % tiles
     in_long = longer * (size + 1)
@@ -140,19 +140,19 @@ def quartiles(df: DataFrame, by: Sequence[By], tiles: int = 4, keys: Sequence[st
     ).drop("row_number", "rank", "dense_rank", "group_rows")
 
 
-def first_crossing(df: DataFrame, mark: float, amount: str = "total_amount", parts: int | None = None) -> DataFrame:
+def first_crossing(df: DataFrame, mark: float, amount: str = "total_amount", cut: Cut | None = None) -> DataFrame:
     """The first order of each customer at which the running value reaches the mark."""
-    reached = running_totals(df, amount, parts).where(F.col("running_value") >= mark)
+    reached = running_totals(df, amount, cut).where(F.col("running_value") >= mark)
     when = F.struct("order_date", "order_id")
     row = F.min_by(F.struct("order_date", "order_id", "running_value", "running_orders"), when)
     return reached.groupBy("customer_id").agg(row.alias("_row")).select("customer_id", "_row.*")
 
 
 def churn_by_decline(
-    df: DataFrame, last: int = 3, drop: float = -30.0, amount: str = "total_amount", parts: int | None = None
+    df: DataFrame, last: int = 3, drop: float = -30.0, amount: str = "total_amount", cut: Cut | None = None
 ) -> DataFrame:
     """Mean percent change over the last orders of each customer; below `drop` is at risk."""
-    recent = last_rows(trend(df, amount, parts), ["customer_id"], ORDER, last)
+    recent = last_rows(trend(df, amount, cut), ["customer_id"], ORDER, last)
     change = F.col("change_percent").cast("decimal(18,6)")
     return (
         recent.where(F.col("change_percent").isNotNull())

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from lakeworks.queries.registry import ORACLES, QUERIES
 
-THEMES = ("aggregates",)
+THEMES = ("columns", "joins", "aggregates", "windows")
 
 
 def load():

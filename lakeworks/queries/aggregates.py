@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions.columns import exact_round, quantity_band, ticket_band
 from lakeworks.operators import aggregates as agg
-from lakeworks.operators.skew import By
+from lakeworks.operators.skew import By, Cut
 from lakeworks.plans.sales import lines, lines_fact, orders_fact, products, sales, table
 from lakeworks.queries.registry import query
 from lakeworks.runtime import mean, total
@@ -174,17 +174,34 @@ def _(spark, d):
     return out.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
-QUANTILES = ", ".join(f"quantile_cont(total_amount, {p}) AS p{round(p * 100)}" for p in (0.25, 0.5, 0.75, 0.9))
+SHARES = [0.25, 0.5, 0.75, 0.9]
+QUANTILES = ", ".join(
+    f"CAST(ROUND(CAST(quantile_cont(total_amount, {p}) AS DECIMAL(18,6)), 3) AS DOUBLE) AS p{round(p * 100)}"
+    for p in SHARES
+)
+
+
+def rounded_shares(df):
+    return df.withColumns({f"p{round(p * 100)}": exact_round(f"p{round(p * 100)}", 3) for p in SHARES})
 
 
 @query("a14_percentiles_overall", f"SELECT {QUANTILES} FROM o")
 def _(spark, d):
-    return agg.percentiles(orders_fact(spark, d), "total_amount", [0.25, 0.5, 0.75, 0.9])
+    return rounded_shares(agg.percentiles(orders_fact(spark, d), "total_amount", SHARES))
 
 
 @query("a14_percentiles_by_state", f"SELECT shipping_state, {QUANTILES} FROM s GROUP BY 1")
 def _(spark, d):
-    return agg.percentiles(sales(spark, d), "total_amount", [0.25, 0.5, 0.75, 0.9], ["shipping_state"])
+    return rounded_shares(agg.percentiles(sales(spark, d), "total_amount", SHARES, ["shipping_state"]))
+
+
+@query("a14_percentiles_by_state_sliced", f"SELECT shipping_state, {QUANTILES} FROM s GROUP BY 1")
+def _(spark, d):
+    """The same with every state treated as a hot key."""
+    cut = Cut(parts=64, hot_rows=0)
+    return rounded_shares(
+        agg.percentiles(sales(spark, d), "total_amount", SHARES, ["shipping_state"], cut)
+    )
 
 
 @query(
@@ -212,7 +229,7 @@ def _(spark, d):
     "a15_price_by_quantity_band",
     """SELECT CASE WHEN quantity < 2 THEN '1 unidade' WHEN quantity < 4 THEN '2-3 unidades'
          WHEN quantity < 6 THEN '4-5 unidades' ELSE '6+ unidades' END AS quantity_band,
-       COUNT(*) AS sold, CAST(SUM(CAST(unit_price AS DECIMAL(18,6))) AS DOUBLE) / COUNT(*) AS avg_price,
+       COUNT(*) AS sold, CAST(SUM(ROUND(CAST(unit_price AS DECIMAL(18,6)), 2)) AS DOUBLE) / COUNT(*) AS avg_price,
        CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_amount
        FROM li GROUP BY 1""",
 )
@@ -220,7 +237,7 @@ def _(spark, d):
     banded = lines(spark, d).withColumn("quantity_band", quantity_band("quantity"))
     out = banded.groupBy("quantity_band").agg(
         F.count("*").alias("sold"),
-        (F.sum(F.col("unit_price").cast("decimal(18,6)")).cast("double") / F.count("*")).alias("avg_price"),
+        mean(exact_round("unit_price")).alias("avg_price"),
         mean("total_amount").alias("avg_amount"),
         F.min("quantity").alias("_first"),
     )
