@@ -6,7 +6,7 @@ from importlib import import_module
 
 from lakeworks.queries.registry import ORACLES, QUERIES
 
-THEMES = ("columns", "joins", "aggregates", "windows", "scans", "writes")
+THEMES = ("columns", "joins", "aggregates", "windows", "scans", "writes", "quality")
 
 
 def load():
