@@ -6,7 +6,9 @@ from importlib import import_module
 
 from lakeworks.queries.registry import ORACLES, QUERIES
 
-THEMES = ("columns", "joins", "aggregates", "windows", "scans", "writes", "quality")
+THEMES = (
+    "columns", "joins", "aggregates", "windows", "scans", "writes", "quality", "daily", "functions",
+)
 
 
 def load():

@@ -7,19 +7,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(file system of the path, class of its paths)."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     where = hadoop.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, Path = _fs(spark, path)
+    fs, Path = file_system(spark, path)
     return fs.exists(Path(path))
 
 
 def remove(spark: SparkSession, path: str) -> bool:
-    fs, Path = _fs(spark, path)
+    fs, Path = file_system(spark, path)
     return fs.delete(Path(path), True)
 
 
@@ -28,7 +29,7 @@ def swap_in(spark: SparkSession, staged: str, target: str) -> None:
 
     Two renames: short, but not atomic. A run that dies between them leaves `<target>.old-...`.
     """
-    fs, Path = _fs(spark, target)
+    fs, Path = file_system(spark, target)
     old = f"{target}.old-{uuid.uuid4().hex}"
     fs.mkdirs(Path(target).getParent())
     had = fs.exists(Path(target))
