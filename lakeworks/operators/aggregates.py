@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.operators.skew import By, Cut, ranked, running, same_keys
+from lakeworks.operators.joins import small_side
+from lakeworks.operators.skew import By, Cut, ranked, running, same_keys, with_group_totals
 from lakeworks.runtime import mean, money, total
 
 
@@ -40,13 +41,13 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def share_in_group(
     df: DataFrame, group: Sequence[str], part: Sequence[str], amount: str
 ) -> DataFrame:
-    """Value per (group, part) and its percent of the group.
+    """Value per (group, part) and its percent of the group. Rows without a group get no percent.
 
-    The window runs over the aggregate: a group has as many rows as it has parts.
+    Sums are joined with the sums of the groups, so a group may have any number of parts.
     """
     sums = df.groupBy(*group, *part).agg(F.sum(money(amount)).alias("_value"), F.count("*").alias("orders"))
-    whole = F.sum("_value").over(Window.partitionBy(*group))
-    return sums.select(
+    whole = F.col("_whole")
+    return with_group_totals(sums, group, {"_whole": F.sum("_value")}).select(
         *group, *part, "orders",
         F.col("_value").cast("double").alias("revenue"),
         (F.try_divide(F.col("_value").cast("double"), whole.cast("double")) * 100).alias("percent"),
@@ -125,7 +126,8 @@ def percentiles(
     placed = running(counts, keys, [By("_x")], {"_upto": F.col("_n")}, cut)
     if keys:
         sizes = values.groupBy(*keys).agg(F.count("*").alias("_rows"))
-        placed = placed.alias("p").join(sizes.alias("z"), same_keys("p", "z", keys)).select("p.*", "z._rows")
+        sizes = small_side(sizes).alias("z")
+        placed = placed.alias("p").join(sizes, same_keys("p", "z", keys)).select("p.*", "z._rows")
     else:
         placed = placed.withColumn("_rows", values.agg(F.count("*")).scalar())
     first, end = F.col("_upto") - F.col("_n"), F.col("_upto")

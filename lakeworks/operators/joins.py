@@ -11,15 +11,12 @@ from pyspark.sql import types as T
 from lakeworks.operators.skew import skew_join
 from lakeworks.runtime import total
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting the frame; beyond the bound leave the choice to Spark.
-
-    The count stops as soon as the bound is passed.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    """Hint a broadcast after counting the frame; beyond the bound leave the choice to Spark."""
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 
@@ -148,6 +145,6 @@ def for_each_value(df: DataFrame, values: DataFrame, max_values: int = 1000) ->
     """
     name = values.columns[0]
     listed = values.distinct()
-    if listed.limit(max_values + 1).count() > max_values:
+    if listed.count() > max_values:
         raise ValueError(f"more than {max_values} values of {name}")
     return df.withColumn(name, F.explode(listed.agg(F.array_agg(name)).scalar()))

@@ -129,7 +129,7 @@ def _cuts(df: DataFrame, keys: Sequence[str], cut: Cut, points: int) -> DataFram
             return None
         heavy = df.alias("n").join(F.broadcast(hot).alias("h"), same_keys("n", "h", keys))
         heavy = heavy.select("n.*", "h._share")
-    elif df.limit(cut.hot_rows + 1).count() > cut.hot_rows:
+    elif df.count() > cut.hot_rows:
         heavy = df.withColumn("_share", F.lit(cut.parts))
     else:
         return None
@@ -362,28 +362,38 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     cut: Cut | None = None,
-    salts: int = 64,
 ) -> DataFrame:
     """Equi-join for a left side with hot keys and a right side with few rows per key.
 
-    Rows of hot keys get one of `salts` numbers on the left; the right rows of those keys are
-    repeated once per number. Everything else joins under salt 0. The salt depends on the row
-    and on its input partition, both stable when a lost task runs again, so even identical
+    Rows of a hot key get one of as many salts as the key fills parts; the right rows of that
+    key are repeated once per salt. Everything else joins under salt 0. The salt depends on the
+    row and on its input partition, both stable when a lost task runs again, so even identical
     rows spread out. For inner, left, left_semi and left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
-    hot = hot_keys(left.select(*keys).dropna(), keys, cut or Cut.default(left))
+    cut = cut or Cut.default(left)
+    hot = hot_keys(left.select(*keys).dropna(), keys, cut)
     if hot is None:
         return left.join(right, list(keys), how)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)).drop("_share"))
-    salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)) + 1
-    # null keys never match; a number per row keeps a left join from piling them up
+    hot = F.broadcast(hot)
+    row = F.xxhash64(*left.columns, F.spark_partition_id())
+    # null keys never match; spread over salts they do not pile up in a left join
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    big = left.join(hot, list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot") | some_null, salt).otherwise(F.lit(0)).cast("int")
+    salt = (
+        F.when(some_null, F.pmod(row, F.lit(cut.parts)) + 1)
+        .when(F.col("_share").isNotNull(), F.pmod(row, F.col("_share")) + 1)
+        .otherwise(0)
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(1), F.lit(salts))).otherwise(F.array(F.lit(0)))
-    small = right.join(hot, list(keys), "left").withColumn("_salt", F.explode(copies))
-    out = big.drop("_hot").join(small.drop("_hot"), [*keys, "_salt"], how)
-    return out.drop("_salt")
+    big = left.join(hot, list(keys), "left").withColumn("_salt", salt.cast("int")).drop("_share")
+    copies = F.when(F.col("_share").isNotNull(), F.sequence(F.lit(1), F.col("_share")))
+    small = right.join(hot, list(keys), "left")
+    small = small.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0))))).drop("_share")
+    return big.join(small, [*keys, "_salt"], how).drop("_salt")
+
+
+def with_group_totals(
+    df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], cut: Cut | None = None
+) -> DataFrame:
+    """Aggregates of the key on each of its rows: aggregate, then join back."""
+    return skew_join(df, df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), keys, "left", cut)

@@ -116,11 +116,6 @@ def day_range(df: DataFrame, keys: Sequence[str], date: str, days: int, amount:
     )
 
 
-def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """Aggregates of the key on each of its rows: aggregate, then join back."""
-    return skew_join(df, df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), keys, "left")
-
-
 def quartiles(df: DataFrame, by: Sequence[By], tiles: int = 4, keys: Sequence[str] = (), cut: Cut | None = None) -> DataFrame:
     """`tile` as ntile gives it and `percent_rank`, from exact places over any number of rows."""
     out = ranked(df, keys, by, cut)

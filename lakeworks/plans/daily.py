@@ -19,6 +19,7 @@ from lakeworks.plans.metrics import RunLog
 from lakeworks.quality import checks, gate, quarantine
 from lakeworks.runtime import build_session, mean, total
 from lakeworks.sinks.tables import write_refs
+from lakeworks.sources.files import read_refs
 
 REQUIRED = ("order_id", "customer_id", "product_id", "total_amount", "order_date")
 RULES = {f"{c}_missing": f"{c} IS NOT NULL" for c in REQUIRED} | {
@@ -54,15 +55,12 @@ def bronze(spark: SparkSession, incoming: str, lake: Lake, refs: Sequence[str],
     return {"rows": write_refs(rows, lake.bronze, "_data_ref", refs)}
 
 
-def silver(
-    spark: SparkSession, lake: Lake, refs: Sequence[str], source: str | None = None, ingested_at: str | None = None
-) -> dict:
+def silver(spark: SparkSession, lake: Lake, refs: Sequence[str], ingested_at: str | None = None) -> dict:
     """Valid rows, one per order and day; broken rows go to quarantine with their reasons.
 
     Rules come before deduplication, so a broken copy cannot push out a good one.
     """
-    day = spark.read.parquet(source or lake.bronze).where(F.col("_data_ref").cast("string").isin(list(refs)))
-    day = day.withColumnRenamed("_data_ref", "data_ref").withColumn("data_ref", F.col("data_ref").cast("string"))
+    day = read_refs(spark, lake.bronze, "_data_ref", refs).withColumnRenamed("_data_ref", "data_ref")
     valid, bad = quarantine.split(
         quarantine.mark(day, RULES), critical=[n for n in RULES if n.endswith("_missing")], at=ingested_at
     )
@@ -74,8 +72,8 @@ def silver(
 
 def gold(spark: SparkSession, lake: Lake, refs: Sequence[str], products: DataFrame) -> dict:
     """Revenue, orders and mean ticket by day, state and category."""
-    day = spark.read.parquet(lake.silver).where(F.col("data_ref").cast("string").isin(list(refs)))
-    sold = day.select(F.col("data_ref").cast("string"), "product_id", "shipping_state", "total_amount")
+    day = read_refs(spark, lake.silver, "data_ref", refs)
+    sold = day.select("data_ref", "product_id", "shipping_state", "total_amount")
     named = sold.join(products.select("product_id", "category"), "product_id", "left")
     metrics = named.groupBy("data_ref", "shipping_state", "category").agg(
         total("total_amount").alias("revenue"), F.count("*").alias("orders"), mean("total_amount").alias("avg_ticket")
@@ -98,7 +96,7 @@ def run(
     }
 
     def inspect():
-        rows = spark.read.parquet(lake.gold).where(F.col("data_ref").cast("string").isin(refs))
+        rows = read_refs(spark, lake.gold, "data_ref", refs)
         results = checks.run_rowwise(rows, checks.gold_checks("revenue", "shipping_state", min_rows))
         gate.gate(results, "strict")
         return {"rows": out["gold"]["rows"]}
@@ -110,8 +108,8 @@ def run(
 
 def by_state(spark: SparkSession, source: str, target: str, refs: Sequence[str]) -> int:
     """Days from a table laid out by `dt`, revenue by state, written back by `dt`."""
-    day = spark.read.parquet(source).where(F.col("dt").cast("string").isin(list(refs)))
-    out = day.groupBy(F.col("dt").cast("string").alias("dt"), "shipping_state").agg(
+    day = read_refs(spark, source, "dt", refs)
+    out = day.groupBy("dt", "shipping_state").agg(
         total("total_amount").alias("revenue"), F.count("*").alias("orders")
     )
     return write_refs(out, target, "dt", refs)

@@ -163,7 +163,7 @@ def _(spark, d):
     """A third of all lines on one product; hot products are salted, the others are not."""
     skewed = F.when(F.col("order_id") % 3 == 0, 1).otherwise(F.col("product_id")).cast("long")
     li = lines(spark, d).select(skewed.alias("product_id"), "total_amount")
-    joined = skew_join(li, products(spark, d), ["product_id"], cut=Cut(parts=64, hot_rows=0), salts=16)
+    joined = skew_join(li, products(spark, d), ["product_id"], cut=Cut(parts=64, hot_rows=0))
     return joined.groupBy("category").agg(
         F.count("*").alias("sold"),
         F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("revenue"),

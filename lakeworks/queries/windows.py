@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeworks.functions.columns import exact_round
 from lakeworks.operators import windows as win
 from lakeworks.operators.aggregates import customer_360
-from lakeworks.operators.skew import By, Cut, ranked
+from lakeworks.operators.skew import By, Cut, ranked, with_group_totals
 from lakeworks.plans.sales import AS_OF, customers, orders_fact, sales
 from lakeworks.queries.aggregates import REVENUE, SUM
 from lakeworks.queries.registry import query
@@ -167,8 +167,8 @@ def _(spark, d):
 )
 def _(spark, d):
     fact = orders_fact(spark, d).select("order_id", "customer_id", "total_amount")
-    out = win.with_group_totals(
-        fact, ["customer_id"], orders_of_customer=F.count("*"), spent=total("total_amount")
+    out = with_group_totals(
+        fact, ["customer_id"], {"orders_of_customer": F.count("*"), "spent": total("total_amount")}
     )
     return out.where("orders_of_customer > 1").drop("total_amount")
 

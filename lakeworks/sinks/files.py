@@ -30,14 +30,20 @@ def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     Two renames: short, but not atomic. A run that dies between them leaves `<target>.old-...`.
     """
     fs, Path = file_system(spark, target)
+    if not fs.exists(Path(staged)):
+        raise OSError(f"nothing at {staged} to move to {target}")
     old = f"{target}.old-{uuid.uuid4().hex}"
     fs.mkdirs(Path(target).getParent())
     had = fs.exists(Path(target))
     if had and not fs.rename(Path(target), Path(old)):
         raise OSError(f"cannot move {target} aside")
-    if not fs.rename(Path(staged), Path(target)):
-        if had:
+    moved = False
+    try:
+        moved = fs.rename(Path(staged), Path(target))
+    finally:
+        if not moved and had:
             fs.rename(Path(old), Path(target))
+    if not moved:
         raise OSError(f"cannot move {staged} to {target}")
     if had:
         fs.delete(Path(old), True)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeworks.sinks.files import exists
+
 CORRUPT = "_corrupt_record"
 
 
@@ -90,6 +92,15 @@ def read_partitions(spark: SparkSession, base: str, condition: str | None = None
     return df.where(condition) if condition else df
 
 
+def read_refs(spark: SparkSession, base: str, key: str, refs: Sequence[str]) -> DataFrame:
+    """The partitions `refs` of a table, the key as text. Only their folders are listed, however
+    many others the table has; a ref without a folder has no rows."""
+    there = [f"{base}/{key}={ref}" for ref in refs if exists(spark, f"{base}/{key}={ref}")]
+    reader = spark.read.option("basePath", base)
+    df = reader.parquet(*there) if there else reader.parquet(base).limit(0)
+    return df.withColumn(key, F.col(key).cast("string"))
+
+
 def read_day(spark: SparkSession, incoming: str, data_ref: str, file: str = "vendas.parquet") -> DataFrame:
     """The file of one day below `incoming/<day>/`, the day added as a column."""
     return spark.read.parquet(f"{incoming}/{data_ref}/{file}").withColumn("data_ref", F.lit(data_ref))
