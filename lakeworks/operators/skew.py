@@ -306,6 +306,7 @@ def running(
         *[
             F.when(F.col(f"_before_{n}").isNull(), F.col(n))
             .otherwise(F.coalesce(n, F.lit(0)) + F.col(f"_before_{n}"))
+            .cast(local.schema[n].dataType)
             .alias(n)
             for n in sums
         ],

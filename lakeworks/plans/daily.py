@@ -52,7 +52,8 @@ def bronze(spark: SparkSession, incoming: str, lake: Lake, refs: Sequence[str],
         F.col("_metadata.file_path").alias("_file_origin"),
         F.regexp_extract("_metadata.file_path", r"/([^/]+)/vendas\.parquet", 1).alias("_data_ref"),
     )
-    return {"rows": write_refs(rows, lake.bronze, "_data_ref", refs)}
+    # a file holds one day, so its rows are together already
+    return {"rows": write_refs(rows, lake.bronze, "_data_ref", refs, gather=False)}
 
 
 def silver(spark: SparkSession, lake: Lake, refs: Sequence[str], ingested_at: str | None = None) -> dict:

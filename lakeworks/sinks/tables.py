@@ -57,16 +57,21 @@ def write_observed(
     return {"rows": 0} if there else seen.get  # a skipped write runs no job to observe
 
 
-def write_refs(df: DataFrame, path: str, key: str, refs: Sequence[str], **options) -> int:
+def write_refs(
+    df: DataFrame, path: str, key: str, refs: Sequence[str], gather: bool | None = None, **options
+) -> int:
     """Replace exactly the partitions `refs` with the frame's rows of those.
 
+    A single ref is written as it comes: there is nothing to gather, and the rows save a shuffle.
+
     Dynamic overwrite leaves a partition alone when the frame has no rows for it; a ref that
     became empty is therefore removed after the write. Rows are counted per ref on the way.
     """
     refs = list(refs)
     text = F.col(key).cast("string")
     counts = {f"ref_{i}": F.count_if(text == ref) for i, ref in enumerate(refs)}
-    found = write_observed(df.where(text.isin(refs)), path, [key], counts, **options)
+    gather = len(refs) > 1 if gather is None else gather
+    found = write_observed(df.where(text.isin(refs)), path, [key], counts, gather=gather, **options)
     for i, ref in enumerate(refs):
         if not found[f"ref_{i}"] and exists(df.sparkSession, f"{path}/{key}={ref}"):
             remove(df.sparkSession, f"{path}/{key}={ref}")

@@ -42,7 +42,7 @@ def land(batch: DataFrame, lake: daily.Lake, products: DataFrame, ingested_at: s
     spark = batch.sparkSession
     when = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
     rows = batch.withColumns({"_source": F.lit("arrivals"), "_ingestion_ts": when})
-    write(rows, lake.bronze, ["_data_ref", "_file"])
+    write(rows, lake.bronze, ["_data_ref", "_file"], gather=False)
     # at most one day per file, and files per batch are bounded
     days = sorted(r[0] for r in batch.select("_data_ref").distinct().collect())
     if days:
