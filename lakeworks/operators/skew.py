@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from lakeworks.runtime import materialise
 
+SAMPLE_PER_POINT = 1000  # rows looked at per cut point
 TIE_FACTOR = 8  # ranges of the second order column per repeated cut of the first
 
 
@@ -34,7 +35,7 @@ class Cut:
     which is what one task sorts with ease. Rows of hot keys are cut to about 1/parts each."""
 
     parts: int
-    hot_rows: int = 1_000_000
+    hot_rows: int = 4_000_000
 
     @staticmethod
     def default(df: DataFrame) -> Cut:
@@ -80,16 +81,16 @@ def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], cut: Cut) -> DataFrame | None:
     """Hot keys and the `_share` of parts each would fill, as a written table; None if none is.
 
-    Counts are combined before the shuffle; fewer than `parts` rows come out.
+    Counts are combined before the shuffle, and only those above `hot_rows` are written; of
+    these fewer than `parts` are hot.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cut.hot_rows)
+    counts = materialise(counts, "big-keys")
     if counts.isEmpty():
         return None
-    everything = df.agg(F.count("*")).scalar()
-    hot = counts.where(F.col("_rows") * cut.parts > everything).select(
-        *keys, F.ceil(F.col("_rows") * cut.parts / everything).cast("int").alias("_share")
-    )
-    hot = materialise(hot, "hot-keys")
+    everything = df.count()
+    share = F.ceil(F.col("_rows") * cut.parts / everything).cast("int")
+    hot = counts.where(F.col("_rows") * cut.parts > everything).withColumn("_share", share)
     return None if hot.isEmpty() else hot
 
 
@@ -107,15 +108,21 @@ def _thin(edges: Column, share: Column, points: int) -> Column:
     return F.filter(edges, lambda _, i: (i + 1) % step == 0)
 
 
-def _rank_in(edges: Column, value: Column, points: int, equal: bool = False) -> Column:
-    """How many edges lie below the value (or equal it): a binary search, a comparison per bit."""
-    steps = F.array(*[F.lit(2**b) for b in reversed(range(ceil(log2(points + 1))))])
-
-    def advance(pos, step):
-        edge = F.get(edges, pos + step - 1)
-        return F.when(edge <= value if equal else edge < value, pos + step).otherwise(pos)
+def _search(df: DataFrame, found: Mapping[str, tuple[str, str, bool]], points: int) -> DataFrame:
+    """Binary searches in arrays of edges: {result: (edges, value, count edges equal to it)}.
 
-    return F.aggregate(steps, F.lit(0), advance)
+    Each step is a projection on the one before, so the searches stay in generated code; a
+    lambda over the array would copy it for every row.
+    """
+    df = df.withColumns({name: F.lit(0) for name in found})
+    for bit in reversed(range(ceil(log2(points + 1)))):
+        steps = {}
+        for name, (edges, value, equal) in found.items():
+            edge = F.get(edges, F.col(name) + (2**bit - 1))
+            passed = edge <= F.col(value) if equal else edge < F.col(value)
+            steps[name] = F.col(name) + F.when(passed, 2**bit).otherwise(0)
+        df = df.withColumns(steps)
+    return df
 
 
 def _cuts(df: DataFrame, keys: Sequence[str], cut: Cut, points: int) -> DataFrame | None:
@@ -127,12 +134,18 @@ def _cuts(df: DataFrame, keys: Sequence[str], cut: Cut, points: int) -> DataFram
         hot = hot_keys(df, keys, cut)
         if hot is None:
             return None
+        size = hot.agg(F.sum("_rows")).first()[0]
         heavy = df.alias("n").join(F.broadcast(hot).alias("h"), same_keys("n", "h", keys))
         heavy = heavy.select("n.*", "h._share")
-    elif df.count() > cut.hot_rows:
-        heavy = df.withColumn("_share", F.lit(cut.parts))
     else:
-        return None
+        size = df.count()
+        if size <= cut.hot_rows:
+            return None
+        heavy = df.withColumn("_share", F.lit(cut.parts))
+    # cuts only have to be roughly even: some rows per point of each key's share will do
+    fraction = SAMPLE_PER_POINT * cut.parts / size
+    if fraction < 1:
+        heavy = heavy.sample(fraction, seed=17)
     cuts = heavy.groupBy(*keys).agg(
         F.max("_share").alias("_share"),
         _quantiles(F.col("_v"), points).alias("_ve"),
@@ -177,13 +190,8 @@ class Sliced:
             row = cuts.select(F.struct("_ve", "_te")).scalar()
             placed = placed.withColumn("_row", row).select("d.*", "_row.*")
         hot, empty = F.col("_ve").isNotNull(), F.col("_v").isNull()
-        placed = placed.withColumns(
-            {
-                "_hot": hot,
-                "_lo": F.when(hot, _rank_in(F.col("_ve"), F.col("_v"), points)),
-                "_hi": F.when(hot, _rank_in(F.col("_ve"), F.col("_v"), points, equal=True)),
-            }
-        )
+        searches = {"_lo": ("_ve", "_v", False), "_hi": ("_ve", "_v", True), "_tn": ("_te", "_t", False)}
+        placed = _search(placed.withColumn("_hot", hot), searches, points)
         repeats = F.col("_hi") - F.col("_lo")
         whole = F.size("_te") + 1
         placed = placed.withColumns(
@@ -196,15 +204,14 @@ class Sliced:
                 .otherwise(1),
             }
         )
-        place = _rank_in(F.col("_te"), F.col("_t"), points) * F.col("_ranges") / whole
         last = len(by) > 1 and by[1].desc
         sub = (
             F.when(F.col("_ranges") == 1, 0)
             .when(F.col("_t").isNull(), F.col("_ranges") if last else F.lit(-1))
-            .otherwise(F.floor(place).cast("int"))
+            .otherwise(F.floor(F.col("_tn") * F.col("_ranges") / whole).cast("int"))
         )
         self.frame = placed.withColumn("_sub", sub).drop(
-            "_v", "_t", "_ve", "_te", "_lo", "_hi", "_ranges"
+            "_v", "_t", "_ve", "_te", "_lo", "_hi", "_tn", "_ranges"
         )
 
     @property
@@ -377,7 +384,7 @@ def skew_join(
     hot = hot_keys(left.select(*keys).dropna(), keys, cut)
     if hot is None:
         return left.join(right, list(keys), how)
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot.drop("_rows"))
     row = F.xxhash64(*left.columns, F.spark_partition_id())
     # null keys never match; spread over salts they do not pile up in a left join
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

@@ -30,8 +30,8 @@ def repeated(
     if hot_keys(df.select(*keys).dropna(), keys, cut or Cut.default(df)) is None:
         w = Window.partitionBy(*keys).orderBy(order, F.xxhash64(*df.columns))
         return df.withColumn(flag, keyed & (F.row_number().over(w) > 1))
-    numbered = materialise(df.withColumn("_place", F.monotonically_increasing_id()), "numbered")
-    out = ranked(numbered, keys, [By(order), By("_place")], cut)
+    numbered = materialise(df.withColumn("_number", F.monotonically_increasing_id()), "numbered")
+    out = ranked(numbered, keys, [By(order), By("_number")], cut)
     return out.withColumn(flag, keyed & (F.col("row_number") > 1)).select(*df.columns, flag)
 
 
