@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeworks.llm import sentencepiece_fst, token_counts, token_files
+from lakeworks.llm import decontamination, sentencepiece_fst, sharding, token_counts, token_files, winnowing
 from lakeworks.llm.texts import table
 from lakeworks.llm.token_counts import place
 from lakeworks.runtime import fresh_path
@@ -20,6 +20,19 @@ def query(fn):
     return fn
 
 
+@query
+def op2_sharding(spark, sf_dir):
+    """All documents in 40 shards of nearly equal bytes, equal texts together."""
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 40)
+
+
+@query
+def op5_decontamination(spark, sf_dir):
+    """Words of every document that lie in ten words of a benchmark item."""
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.drop("spans")
+
+
 @query
 def op6_token_files(spark, sf_dir):
     """All documents as token files, read back: offsets, sizes and checksums of the ids."""
@@ -39,3 +52,9 @@ def op8_sentencepiece(spark, sf_dir):
     """Every document encoded and decoded again."""
     model = place("piece_bpe_32k.model")
     return sentencepiece_fst.digests(sentencepiece_fst.encode(table(spark, sf_dir, "documents"), model), model)
+
+
+@query
+def op10_winnowing(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return winnowing.compare_with_next(table(spark, sf_dir, "documents"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -10,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word: a run of ASCII letters and digits and of all characters beyond ASCII, A-Z in lower case.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-LOWER = {c: c + 32 for c in range(65, 91)}
+#: Bytes of a text by their role: A-Z in lower case; ASCII other than letters and digits parts words.
+WORD_BYTES = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +43,34 @@ def crc32_of(ids: bytes) -> int:
     return zlib.crc32(ids) & 0xFFFFFFFF
 
 
-def words_of(text: str | None) -> list[str]:
-    import re
+def words_of(text: str | None) -> list[bytes]:
+    """Runs of ASCII letters (in lower case), ASCII digits and all characters beyond ASCII."""
+    return text.encode().translate(WORD_BYTES).split() if text else []
 
-    return re.findall(WORD, text.translate(LOWER)) if text else []
+
+def word_places(text: str) -> list[tuple[int, int]]:
+    """Where each word lies in the text's UTF-8 bytes."""
+    return [m.span() for m in re.finditer(rb"[^ ]+", text.encode().translate(WORD_BYTES))]
+
+
+def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words [a, b) of each span and what stands between them."""
+    raw, places, kept, at = text.encode(), word_places(text), [], 0
+    for a, b in spans:
+        kept.append(raw[at : places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*kept, raw[at:]]).decode()
+
+
+def joined(spans) -> list[tuple[int, int]]:
+    """Spans in order, those that touch or overlap made one."""
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
 
 
 def list_column(values: np.ndarray, sizes) -> pa.Array:
