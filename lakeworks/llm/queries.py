@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from lakeworks.llm import decontamination, sentencepiece_fst, sharding, token_counts, token_files, winnowing
+from pyspark.sql import functions as F
+
+from lakeworks.llm import (
+    decontamination,
+    language,
+    quality,
+    sentencepiece_fst,
+    sharding,
+    token_counts,
+    token_files,
+    winnowing,
+)
 from lakeworks.llm.texts import table
 from lakeworks.llm.token_counts import place
 from lakeworks.runtime import fresh_path
@@ -26,6 +36,31 @@ def op2_sharding(spark, sf_dir):
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 40)
 
 
+@query
+def op3_language_id(spark, sf_dir):
+    """The language of every document, from its text and from how its source reads."""
+    docs = table(spark, sf_dir, "documents")
+    languages, model = language.train(docs.where(~quality.held_out(F.col("doc_id"))), "text", "lang")
+    found = language.identify(docs.drop("lang"), languages, model, host="source")
+    return found.select("doc_id", "language", "posterior", "accepted")
+
+
+@query
+def op3_language_id_pages(spark, sf_dir):
+    """The language of every page, from its text, markup, address suffix and host."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    languages, model = language.train(docs.where(~quality.held_out(F.col("doc_id"))), "text", "lang")
+    host = language.host_of(F.col("url"))
+    rows = pages.select(
+        "page_id", language.visible(F.col("html")).alias("text"), host.alias("host"),
+        language.suffix_of(host).alias("suffix"), language.declared_in(F.col("html")).alias("declared"),
+    )
+    found = language.identify(
+        rows, languages, model, host="host", declared=F.col("declared"), suffix=F.col("suffix")
+    )
+    return found.select("page_id", "host", "declared", "language", "posterior", "accepted")
+
+
 @query
 def op5_decontamination(spark, sf_dir):
     """Words of every document that lie in ten words of a benchmark item."""
@@ -54,6 +89,12 @@ def op8_sentencepiece(spark, sf_dir):
     return sentencepiece_fst.digests(sentencepiece_fst.encode(table(spark, sf_dir, "documents"), model), model)
 
 
+@query
+def op9_quality(spark, sf_dir):
+    """Quality scores of every document."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_winnowing(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
