@@ -72,36 +72,35 @@ def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     return languages, np.array([*model, np.full(BINS, -np.log(BINS))], np.float32)
 
 
-def with_likelihoods(df: DataFrame, text: str, model: np.ndarray, name: str) -> DataFrame:
-    """`df` with a list column: the text's log-likelihood in each language and in none, then the number
-    of its trigrams."""
+def with_likelihoods(df: DataFrame, text: str, model: np.ndarray, temper: float, name: str) -> DataFrame:
+    """`df` with a list column: the text's tempered log-likelihood in each language and in none, then the
+    share of each language by these alone, then the number of trigrams."""
     at = df.columns.index(text)
     shared = df.sparkSession.sparkContext.broadcast(model)  # languages times BINS
 
     def measured(batches):
         table = shared.value
         for batch in in_slices(batches, 2 << 20):
-            texts = [t.lower() if t else "" for t in batch.column(at).to_pylist()]
-            codes, starts = code_points(texts)
-            index, counts = trigrams(codes, BINS) if len(codes) > 2 else (np.zeros(len(codes), int), np.zeros(len(codes)))
-            rows = [np.add.reduceat(np.where(counts, line[index], 0), starts[:-1], dtype=np.float64) for line in table]
-            rows.append(np.add.reduceat(counts.astype(np.float64), starts[:-1]))
-            flat = np.stack(rows, 1)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(texts) + 1, dtype=np.int32) * flat.shape[1]), pa.array(flat.ravel())
-            )
+            codes, starts = code_points([t.lower() if t else "" for t in batch.column(at).to_pylist()])
+            index, counts = trigrams(codes, BINS)
+            sums = [np.add.reduceat(np.where(counts, line[index], 0), starts[:-1], dtype=np.float64) for line in table]
+            likely = np.stack(sums, 1) * temper
+            flat = np.hstack([likely, _shares(likely)[:, :-1], np.add.reduceat(counts.astype(float), starts[:-1])[:, None]])
+            ends = np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, name])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(measured, f"{schema}, `{name}` array<double>")
+    return df.mapInArrow(measured, f"{_schema(df)}, `{name}` array<double>")
+
 
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
-def _normal(scores: list[Column]) -> list[Column]:
-    """Shares from log scores."""
-    top = F.greatest(*scores)
-    parts = [F.exp(s - top) for s in scores]
-    total = sum(parts[1:], parts[0])
-    return [p / total for p in parts]
+
+def _shares(scores: np.ndarray) -> np.ndarray:
+    """Shares of each row from its log scores."""
+    parts = np.exp(scores - scores.max(1, keepdims=True))
+    return parts / parts.sum(1, keepdims=True)
 
 
 def identify(
@@ -115,61 +114,70 @@ def identify(
     not accepted. Every row stays; columns of `df` that have the result's names give way to it. An
     empty table gives an empty result.
     """
-    size, none = len(languages), len(languages)
-    work, evidence = df.drop("language", "posterior", "accepted"), []
-    names = [free_name(work, x) for x in ("_host", "_suffix", "_declared", "_found")]
-    host_column = F.col(f"`{host}`") if isinstance(host, str) else host
-    for name, value in zip(names, (host_column, suffix, declared), strict=False):
-        work = work.withColumn(name, F.coalesce((F.lit("") if value is None else value).cast("string"), F.lit("")))
-    host_, suffix_, declared_, found = names
-    work = with_likelihoods(work, text, model, found)
-    likelihood = [F.col(found)[i] * fusion.temper for i in range(size + 1)]
-    text_share = _normal(likelihood)[:size]  # what no language explains counts for none
-
-    soft = work.where(F.col(found)[size + 1] > 0).groupBy(suffix_, host_).agg(
-        F.count("*").alias("n"), *(F.sum(p).alias(f"n{i}") for i, p in enumerate(text_share))
-    )
-    hosts = materialise(soft.withColumnsRenamed({suffix_: "s", host_: "h"}), "language-hosts")
-    counts = ["n", *(f"n{i}" for i in range(size))]
-    whole = hosts.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in counts)).first()
-    base = [(whole[f"n{i}"] + 1) / (sum(whole[f"n{j}"] for j in range(size)) + size) for i in range(size)]
-    suffixes = hosts.groupBy("s").agg(*(F.sum(c).alias(f"s{c}") for c in counts))
-    priors = hosts.join(suffixes, "s")
-
-    joined = work.join(
-        priors.withColumnsRenamed({"s": f"{found}s", "h": f"{found}h", **{c: f"{found}{c}" for c in counts},
-                                   **{f"s{c}": f"{found}s{c}" for c in counts}}),
-        (F.col(suffix_) == F.col(f"{found}s")) & (F.col(host_) == F.col(f"{found}h")),
-        "left",
+    if not languages:
+        raise ValueError("no language to tell: train on rows with labels")
+    size, made = len(languages), ("language", "posterior", "accepted")
+    kept = [c for c in df.columns if c.lower() not in made]
+    work = df.select(*(F.col(f"`{c}`") for c in kept))
+    clues = {"_host": F.col(f"`{host}`") if isinstance(host, str) else host, "_suffix": suffix, "_declared": declared}
+    names = {wish: free_name(work, wish) for wish in (*clues, "_found", "_here", "_near")}
+    for wish, value in clues.items():
+        clue = F.lit("") if value is None else value.cast("string")
+        work = work.withColumn(names[wish], F.coalesce(clue, F.lit("")))
+    host_, suffix_, declared_, found, here, near = (F.col(f"`{n}`") for n in names.values())
+    work = with_likelihoods(work, text, model, fusion.temper, names["_found"])
+
+    # soft counts: how the rows with letters read, by host; last their number
+    counts = [F.sum(found[size + 1 + i]) for i in range(size)] + [F.count("*").cast("double")]
+    hosts = work.where(found[2 * size + 1] > 0).groupBy(suffix_.alias("s"), host_.alias("h")).agg(F.array(*counts).alias("here"))
+    hosts = materialise(hosts, "language-hosts")
+
+    def total() -> Column:
+        return F.array(*(F.sum(F.col("here")[i]) for i in range(size + 1)))
+
+    whole = np.array(hosts.agg(total()).first()[0], dtype=object)
+    whole = np.where(whole == None, 0.0, whole).astype(float)  # noqa: E711  an empty table has no sums
+    base = (whole[:size] + 1) / (whole[:size].sum() + size)
+    priors = hosts.join(hosts.groupBy("s").agg(total().alias("near")), "s").select(
+        F.col("s").alias(names["_suffix"]), F.col("h").alias(names["_host"]),
+        F.col("here").alias(names["_here"]), F.col("near").alias(names["_near"]),
+    )
+    joined = work.join(priors, [names["_suffix"], names["_host"]], "left")
+    none = F.array(*[F.lit(0.0)] * (size + 1))
+    joined = joined.select(
+        *(F.col(f"`{c}`") for c in kept), suffix_, declared_, found, F.coalesce(here, none).alias(names["_here"]),
+        F.coalesce(near, none).alias(names["_near"]),
     )
-    counted = F.col(found)[size + 1] > 0
-
-    def count(name: str, own: Column) -> Column:
-        return F.greatest(F.lit(0.0), F.coalesce(F.col(found + name), F.lit(0)) - F.when(counted, own).otherwise(F.lit(0.0)))
-
-    for i, language in enumerate(languages):
-        near = (count(f"sn{i}", text_share[i]) + fusion.pull * base[i]) / (count("sn", F.lit(1.0)) + fusion.pull)
-        prior = (count(f"n{i}", text_share[i]) + fusion.pull * near) / (count("n", F.lit(1.0)) + fusion.pull)
-        score = F.log(prior) + likelihood[i]
-        for clue, chance in ((F.col(declared_), fusion.declared), (_language_of(F.col(suffix_)), fusion.suffix)):
-            other = (1 - chance) / max(1, size - 1)
-            score += F.when(clue.isin(languages), F.log(F.when(clue == language, chance).otherwise(other))).otherwise(0.0)
-        evidence.append(score)
-    # no language: as likely beforehand as a rare one, and nothing but the text speaks for it
-    scores = [*evidence, F.lit(float(np.log(0.01))) + likelihood[none]]
-    shares = F.array(*_normal(scores))
-    best = F.array_max(F.slice(shares, 1, size))
-    told = counted | F.col(declared_).isin(languages) | _language_of(F.col(suffix_)).isin(languages)
-    accepted = told & (best >= fusion.least)
-    return joined.withColumns({"posterior": best, "accepted": accepted}).withColumn(
-        "language",
-        F.when(F.col("accepted"), F.element_at(F.array(*map(F.lit, languages)), F.array_position(shares, F.col("posterior")).cast("int"))),
-    ).select(*(c for c in df.columns if c not in ("language", "posterior", "accepted")), "language", "posterior", "accepted")
-
-
-def _language_of(suffix: Column) -> Column:
-    pairs = [x for pair in SUFFIX_LANGUAGE.items() for x in map(F.lit, pair)]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.lower(suffix)), F.lit(""))
+
+    def fused(batches):
+        for batch in (b for b in batches if b.num_rows):
+            said = [batch.column(len(kept) + i).to_pylist() for i in (0, 1)]
+            lists = [batch.column(len(kept) + i).values.to_numpy() for i in (2, 3, 4)]
+            given, own_host, own_suffix = (x.reshape(batch.num_rows, -1) for x in lists)
+            likely, share, told = given[:, : size + 1], given[:, size + 1 : -1], given[:, -1] > 0
+            own = np.hstack([share, np.ones((len(share), 1))]) * told[:, None]  # a row is no prior of its own
+            own_host, own_suffix = np.maximum(own_host - own, 0), np.maximum(own_suffix - own, 0)
+            prior = (own_suffix[:, :size] + fusion.pull * base) / (own_suffix[:, size:] + fusion.pull)
+            prior = (own_host[:, :size] + fusion.pull * prior) / (own_host[:, size:] + fusion.pull)
+            scores = np.log(prior) + likely[:, :size]
+            named = ([SUFFIX_LANGUAGE.get(x.lower(), "") for x in said[0]], [x.lower() for x in said[1]])
+            for clue, chance in zip(named, (fusion.suffix, fusion.declared), strict=True):
+                place = np.array([languages.index(x) if x in languages else -1 for x in clue], int)
+                for i in range(size):
+                    other = (1 - chance) / max(1, size - 1)
+                    scores[:, i] += np.where(place < 0, 0.0, np.log(np.where(place == i, chance, other)))
+                told = told | (place >= 0)
+            # no language: rare beforehand, and nothing but the text speaks for it
+            shares = _shares(np.hstack([scores, np.log(0.01) + likely[:, size:]]))[:, :size]
+            best = shares.max(1)
+            accepted = told & (best >= fusion.least)
+            names_ = [languages[i] if a else None for i, a in zip(shares.argmax(1), accepted, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(kept)], pa.array(names_, pa.string()), pa.array(best), pa.array(accepted)], [*kept, *made]
+            )
+
+    schema = _schema(work.select(*(F.col(f"`{c}`") for c in kept)))
+    return joined.mapInArrow(fused, f"{schema}, language string, posterior double, accepted boolean")
 
 
 def declared_in(html: Column) -> Column:
