@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakeworks.llm import (
     decontamination,
+    jaccard,
     language,
     quality,
     sentencepiece_fst,
     sharding,
+    suffixes,
     token_counts,
     token_files,
     winnowing,
@@ -25,11 +28,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    """All documents with passages of fifty words or more that an earlier document holds cut out."""
+    found = suffixes.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_cut", "cut_spans", "text")
+
+
 @query
 def op2_sharding(spark, sf_dir):
     """All documents in 40 shards of nearly equal bytes, equal texts together."""
@@ -61,6 +74,12 @@ def op3_language_id_pages(spark, sf_dir):
     return found.select("page_id", "host", "declared", "language", "posterior", "accepted")
 
 
+@query
+def op4_jaccard_join(spark, sf_dir):
+    """The class of every document among texts at a similarity of 0.8 or more, and its links."""
+    return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 @query
 def op5_decontamination(spark, sf_dir):
     """Words of every document that lie in ten words of a benchmark item."""

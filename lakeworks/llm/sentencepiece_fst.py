@@ -119,9 +119,10 @@ def encode(df: DataFrame, model: str, text: str = "text", key: str = "doc_id") -
     )
 
 
-def digests(encoded: DataFrame, model: str) -> DataFrame:
+def digests(encoded: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
     """Per row of `encode`'s result: doc_id, n_pieces, ids_crc32, the sha256 of the text decoded from the
-    ids, and whether that text is the one encoded (null counts as empty)."""
+    ids, and whether that text is the one encoded (null counts as empty); with the ids too if wanted."""
+    more = ["ids"] if with_ids else []
 
     def checked(batches):
         import hashlib
@@ -139,12 +140,13 @@ def digests(encoded: DataFrame, model: str) -> DataFrame:
                     pa.array([crc32_of(r.astype("<u4").tobytes()) for r in rows], pa.int64()),
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
                     pa.array([a == (b or "") for a, b in zip(texts, batch.column(1).to_pylist(), strict=True)]),
+                    *([ids] if with_ids else []),
                 ],
-                ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip"],
+                ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip", *more],
             )
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "text", "ids").mapInArrow(
         checked,
-        f"doc_id {kind}, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean",
+        f"doc_id {kind}, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * with_ids,
     )
