@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.texts import clean, cut_words, in_slices, joined, words_of
+from lakeworks.llm.texts import clean, cut_words, in_slices, joined, numbered, words_of
 
 
 class SuffixAutomaton:
@@ -227,7 +227,9 @@ def remove(
     hit go altogether. Cutting goes on until nothing is hit, since a cut brings other words together.
     All columns stay; null and empty texts are kept as they are. A document without hits is untouched.
     """
-    kept, place = df.columns, df.columns.index(text)
+    names, place = df.columns, df.columns.index(text)
+    df = numbered(df)
+    kept = df.columns
     for block in item_blocks(items, item, item_text, block_bytes):
         held = df.sparkSession.sparkContext.broadcast(block)  # at most block_bytes
 
@@ -251,4 +253,4 @@ def remove(
                 yield pa.RecordBatch.from_arrays(columns, kept).filter(pa.array(stays, pa.bool_()))
 
         df = df.mapInArrow(cut, df.schema)
-    return df
+    return df.toDF(*names)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.characters import code_points, trigrams
-from lakeworks.llm.texts import free_name, in_slices
+from lakeworks.llm.texts import in_slices
 from lakeworks.runtime import materialise
 
 BINS = 1 << 14
@@ -118,14 +118,13 @@ def identify(
         raise ValueError("no language to tell: train on rows with labels")
     size, made = len(languages), ("language", "posterior", "accepted")
     kept = [c for c in df.columns if c.lower() not in made]
-    work = df.select(*(F.col(f"`{c}`") for c in kept))
-    clues = {"_host": F.col(f"`{host}`") if isinstance(host, str) else host, "_suffix": suffix, "_declared": declared}
-    names = {wish: free_name(work, wish) for wish in (*clues, "_found", "_here", "_near")}
-    for wish, value in clues.items():
-        clue = F.lit("") if value is None else value.cast("string")
-        work = work.withColumn(names[wish], F.coalesce(clue, F.lit("")))
-    host_, suffix_, declared_, found, here, near = (F.col(f"`{n}`") for n in names.values())
-    work = with_likelihoods(work, text, model, fusion.temper, names["_found"])
+    clues = (F.col(f"`{host}`") if isinstance(host, str) else host, suffix, declared)
+    clues = (F.coalesce((F.lit("") if x is None else x).cast("string"), F.lit("")) for x in clues)
+    work = df.select(*(F.col(f"`{c}`") for c in kept), *clues)
+    work = work.toDF(*(f"c{i}" for i in range(len(kept))), "host", "suffix", "declared")
+    work = with_likelihoods(work, f"c{kept.index(text)}", model, fusion.temper, "found")
+    own = [F.col(c) for c in work.columns[: len(kept)]]
+    host_, suffix_, declared_, found = (F.col(c) for c in ("host", "suffix", "declared", "found"))
 
     # soft counts: how the rows with letters read, by host; last their number
     counts = [F.sum(found[size + 1 + i]) for i in range(size)] + [F.count("*").cast("double")]
@@ -139,15 +138,12 @@ def identify(
     whole = np.where(whole == None, 0.0, whole).astype(float)  # noqa: E711  an empty table has no sums
     base = (whole[:size] + 1) / (whole[:size].sum() + size)
     priors = hosts.join(hosts.groupBy("s").agg(total().alias("near")), "s").select(
-        F.col("s").alias(names["_suffix"]), F.col("h").alias(names["_host"]),
-        F.col("here").alias(names["_here"]), F.col("near").alias(names["_near"]),
-    )
-    joined = work.join(priors, [names["_suffix"], names["_host"]], "left")
+        F.col("s").alias("suffix"), F.col("h").alias("host"), "here", "near"
+    )
     none = F.array(*[F.lit(0.0)] * (size + 1))
-    joined = joined.select(
-        *(F.col(f"`{c}`") for c in kept), suffix_, declared_, found, F.coalesce(here, none).alias(names["_here"]),
-        F.coalesce(near, none).alias(names["_near"]),
-    )
+    joined = work.join(priors, ["suffix", "host"], "left").select(
+        *own, suffix_, declared_, found, F.coalesce("here", none).alias("here"), F.coalesce("near", none).alias("near")
+    )
 
     def fused(batches):
         for batch in (b for b in batches if b.num_rows):
@@ -155,29 +151,32 @@ def identify(
             lists = [batch.column(len(kept) + i).values.to_numpy() for i in (2, 3, 4)]
             given, own_host, own_suffix = (x.reshape(batch.num_rows, -1) for x in lists)
             likely, share, told = given[:, : size + 1], given[:, size + 1 : -1], given[:, -1] > 0
-            own = np.hstack([share, np.ones((len(share), 1))]) * told[:, None]  # a row is no prior of its own
-            own_host, own_suffix = np.maximum(own_host - own, 0), np.maximum(own_suffix - own, 0)
+            self_ = np.hstack([share, np.ones((len(share), 1))]) * told[:, None]  # a row is no prior of its own
+            own_host, own_suffix = np.maximum(own_host - self_, 0), np.maximum(own_suffix - self_, 0)
             prior = (own_suffix[:, :size] + fusion.pull * base) / (own_suffix[:, size:] + fusion.pull)
             prior = (own_host[:, :size] + fusion.pull * prior) / (own_host[:, size:] + fusion.pull)
             scores = np.log(prior) + likely[:, :size]
+            # no language: rare beforehand, and clues say nothing about it
+            none = np.log(0.01) + likely[:, size]
             named = ([SUFFIX_LANGUAGE.get(x.lower(), "") for x in said[0]], [x.lower() for x in said[1]])
             for clue, chance in zip(named, (fusion.suffix, fusion.declared), strict=True):
                 place = np.array([languages.index(x) if x in languages else -1 for x in clue], int)
                 for i in range(size):
                     other = (1 - chance) / max(1, size - 1)
                     scores[:, i] += np.where(place < 0, 0.0, np.log(np.where(place == i, chance, other)))
+                none = none - np.where(place < 0, 0.0, np.log(size))
                 told = told | (place >= 0)
-            # no language: rare beforehand, and nothing but the text speaks for it
-            shares = _shares(np.hstack([scores, np.log(0.01) + likely[:, size:]]))[:, :size]
+            shares = _shares(np.hstack([scores, none[:, None]]))[:, :size]
             best = shares.max(1)
             accepted = told & (best >= fusion.least)
-            names_ = [languages[i] if a else None for i, a in zip(shares.argmax(1), accepted, strict=True)]
+            told_as = [languages[i] if a else None for i, a in zip(shares.argmax(1), accepted, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(kept)], pa.array(names_, pa.string()), pa.array(best), pa.array(accepted)], [*kept, *made]
+                [*batch.columns[: len(kept)], pa.array(told_as, pa.string()), pa.array(best), pa.array(accepted)],
+                [*batch.schema.names[: len(kept)], *made],
             )
 
-    schema = _schema(work.select(*(F.col(f"`{c}`") for c in kept)))
-    return joined.mapInArrow(fused, f"{schema}, language string, posterior double, accepted boolean")
+    schema = _schema(work.select(*own))
+    return joined.mapInArrow(fused, f"{schema}, language string, posterior double, accepted boolean").toDF(*kept, *made)
 
 
 def declared_in(html: Column) -> Column:

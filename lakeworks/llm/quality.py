@@ -117,8 +117,8 @@ class Attention:
                 "c": z.T @ d, "b": np.array([d.sum()]),
             }
             for k, slope in slopes.items():
-                first, second = moments[k]
-                first += 0.1 * (slope + fit.decay * w[k] - first)
+                (first, second), slope = moments[k], slope + fit.decay * w[k]
+                first += 0.1 * (slope - first)
                 second += 0.001 * (slope**2 - second)
                 w[k] -= fit.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         return model

@@ -137,8 +137,8 @@ def _runs(batches, how: Suffixes):
 
 
 def _contexts(batches, how: Suffixes):
-    """Words around the wanted runs of each head document: `prefix` hashes on either side."""
-    reach = max(how.window, how.prefix)
+    """Words around the wanted runs of each head document: as many on either side as a repeat needs."""
+    reach = how.least
     for batch in batches:
         for uid, text, wanted in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2)), strict=True):
             words, _ = word_hashes([text])
@@ -168,8 +168,9 @@ def _extended(words: np.ndarray, runs, how: Suffixes) -> list[tuple[int, int]]:
         n = min(len(words) - b, len(right))
         unlike = np.flatnonzero(words[b : b + n] != right[:n])
         b += int(unlike[0]) if len(unlike) else n
-        spans.append((a, b))
-    return [(a, b) for a, b in joined(spans) if b - a >= how.least]
+        if b - a >= how.least:
+            spans.append((a, b))
+    return joined(spans)
 
 
 def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixes = Suffixes()) -> DataFrame:
@@ -177,8 +178,7 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
 
     A passage of `least` words or more that also stands in a document of lesser key (null keys first; equal
     keys by hash) is cut; the first document keeps its own. Repeats within one document stay, and
-    rows equal in key and text count as one document. Stretches that touch count together. Words are told
-    apart by 64-bit hashes. Null, empty and shorter texts stay as they are; every row stays. Columns of
+    rows equal in key and text count as one document. Words are told apart by 64-bit hashes. Null, empty and shorter texts stay as they are; every row stays. Columns of
     `df` that have the result's names give way to it. An empty table gives an empty result.
     """
     made = ("n_words", "n_cut", "cut_spans")
