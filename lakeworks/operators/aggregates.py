@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.operators.joins import small_side
 from lakeworks.operators.skew import By, Cut, ranked, running, same_keys, with_group_totals
 from lakeworks.runtime import mean, money, total
 
@@ -41,7 +40,7 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def share_in_group(
     df: DataFrame, group: Sequence[str], part: Sequence[str], amount: str
 ) -> DataFrame:
-    """Value per (group, part) and its percent of the group. Rows without a group get no percent.
+    """Value per (group, part) and its percent of the group; rows without a group are one.
 
     Sums are joined with the sums of the groups, so a group may have any number of parts.
     """
@@ -126,7 +125,7 @@ def percentiles(
     placed = running(counts, keys, [By("_x")], {"_upto": F.col("_n")}, cut)
     if keys:
         sizes = values.groupBy(*keys).agg(F.count("*").alias("_rows"))
-        sizes = small_side(sizes).alias("z")
+        sizes = sizes.alias("z")
         placed = placed.alias("p").join(sizes, same_keys("p", "z", keys)).select("p.*", "z._rows")
     else:
         placed = placed.withColumn("_rows", values.agg(F.count("*")).scalar())

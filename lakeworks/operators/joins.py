@@ -11,12 +11,10 @@ from pyspark.sql import types as T
 from lakeworks.operators.skew import skew_join
 from lakeworks.runtime import total
 
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting the frame; beyond the bound leave the choice to Spark."""
-    if df.count() <= max_rows:
+def small_side(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast where the plan's own size statistics stay within the bound; beyond it the choice
+    is left to Spark. No job is run: the statistics are an upper bound from file sizes and columns."""
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= max_bytes:
         return F.broadcast(df)
     return df
 
@@ -138,14 +136,10 @@ def revenue_by(df: DataFrame, keys: Sequence[str], amount: str = "total_amount")
     return df.groupBy(*keys).agg(F.count("*").alias("orders"), total(amount).alias("revenue"))
 
 
-def for_each_value(df: DataFrame, values: DataFrame, max_values: int = 1000) -> DataFrame:
-    """Each row of a small frame once per value of a one-column value list.
+def for_each_value(df: DataFrame, values: DataFrame) -> DataFrame:
+    """Each row of a frame once per value of a one-column value list.
 
-    The list becomes an array in the plan, so there is no join; a list beyond the bound is an
-    error, since the result would grow with its square.
+    The list becomes an array that every task gets, as a broadcast would be, so there is no join.
     """
     name = values.columns[0]
-    listed = values.distinct()
-    if listed.count() > max_values:
-        raise ValueError(f"more than {max_values} values of {name}")
-    return df.withColumn(name, F.explode(listed.agg(F.array_agg(name)).scalar()))
+    return df.withColumn(name, F.explode(values.distinct().agg(F.array_agg(name)).scalar()))

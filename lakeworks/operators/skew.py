@@ -6,8 +6,8 @@ order, each slice is worked on by itself, and what a slice needs from the others
 neighbouring rows) comes from a summary with one row per slice. All other keys keep a single
 slice, so the whole frame is still shuffled once, by (key, slice).
 
-Sizes: there are fewer than `parts` hot keys, and the number of their slices grows with `parts`,
-not with the data. Both are measured first (one count per key, combined before the shuffle) and
+Sizes: there is at most one hot key for every `hot_rows` rows, and the number of slices of each is
+bounded by `parts`. Both are measured first (one count per key, combined before the shuffle) and
 kept as a small written table, so every branch of the plan, and every retry, sees the same cuts.
 Where no key is hot the plain window or join is used.
 """
@@ -31,17 +31,17 @@ TIE_FACTOR = 8  # ranges of the second order column per repeated cut of the firs
 
 @dataclass(frozen=True)
 class Cut:
-    """When a key is hot: it holds more than 1/parts of all rows and more than `hot_rows` rows,
-    which is what one task sorts with ease. Rows of hot keys are cut to about 1/parts each."""
+    """When a key is hot: it holds more than `hot_rows` rows, which is what one task sorts with ease.
+    Its rows are cut to about 1/parts of all rows or `hot_rows` each, whichever is less. With
+    `hot_rows` 0 it is hot above 1/parts of all rows."""
 
     parts: int
     hot_rows: int = 4_000_000
 
     @staticmethod
     def default(df: DataFrame) -> Cut:
-        """As many parts as shuffle partitions, within fixed bounds."""
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return Cut(max(1024, min(8192, shuffle)))
+        """As many parts as shuffle partitions, and 1024 at least."""
+        return Cut(max(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 class By:
@@ -81,17 +81,20 @@ def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], cut: Cut) -> DataFrame | None:
     """Hot keys and the `_share` of parts each would fill, as a written table; None if none is.
 
-    Counts are combined before the shuffle, and only those above `hot_rows` are written; of
-    these fewer than `parts` are hot.
+    Counts are combined before the shuffle, and only those above `hot_rows` are written: at most one
+    for every `hot_rows` rows of the frame.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cut.hot_rows)
     counts = materialise(counts, "big-keys")
     if counts.isEmpty():
         return None
     everything = df.count()
-    share = F.ceil(F.col("_rows") * cut.parts / everything).cast("int")
-    hot = counts.where(F.col("_rows") * cut.parts > everything).withColumn("_share", share)
-    return None if hot.isEmpty() else hot
+    share = F.ceil(F.col("_rows") * cut.parts / everything)
+    if not cut.hot_rows:
+        hot = counts.where(F.col("_rows") * cut.parts > everything).withColumn("_share", share.cast("int"))
+        return None if hot.isEmpty() else hot
+    share = F.greatest(share, F.ceil(F.col("_rows") / cut.hot_rows))
+    return counts.withColumn("_share", F.least(share, F.lit(2**31 - 1)).cast("int"))
 
 
 # ------------------------------------------------------------------ cutting hot keys
@@ -139,10 +142,11 @@ def _cuts(df: DataFrame, keys: Sequence[str], cut: Cut, points: int) -> DataFram
         heavy = heavy.select("n.*", "h._share")
     else:
         size = df.count()
-        if size <= cut.hot_rows:
+        if not size:
             return None
         heavy = df.withColumn("_share", F.lit(cut.parts))
-    # cuts only have to be roughly even: some rows per point of each key's share will do
+    # cuts only have to be roughly even: some rows per point of each key's share will do; the sample
+    # balances slices, and no row or result depends on it
     fraction = SAMPLE_PER_POINT * cut.parts / size
     if fraction < 1:
         heavy = heavy.sample(fraction, seed=17)
@@ -370,16 +374,23 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     cut: Cut | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join for a left side with hot keys and a right side with few rows per key.
 
     Rows of a hot key get one of as many salts as the key fills parts; the right rows of that
     key are repeated once per salt. Everything else joins under salt 0. The salt depends on the
     row and on its input partition, both stable when a lost task runs again, so even identical
-    rows spread out. For inner, left, left_semi and left_anti.
+    rows spread out. For inner, left, left_semi and left_anti. With `null_safe` a null key is a key
+    like any other and matches a null key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
+    if null_safe:
+        # structs are never null, and two that hold null are equal
+        boxed = {f"_key_{i}": F.struct(F.col(k).alias("k")) for i, k in enumerate(keys)}
+        right = right.withColumns(boxed).drop(*keys)
+        return skew_join(left.withColumns(boxed), right, list(boxed), how, cut).drop(*boxed)
     cut = cut or Cut.default(left)
     hot = hot_keys(left.select(*keys).dropna(), keys, cut)
     if hot is None:
@@ -404,4 +415,5 @@ def with_group_totals(
     df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], cut: Cut | None = None
 ) -> DataFrame:
     """Aggregates of the key on each of its rows: aggregate, then join back."""
-    return skew_join(df, df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), keys, "left", cut)
+    totals = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    return skew_join(df, totals, keys, "left", cut, null_safe=True)

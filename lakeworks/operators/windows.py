@@ -16,7 +16,8 @@ ORDER = (By("order_date"), By("order_id"))
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
-    """Rows whose value is among the n highest values of the key, with `place`; ties are kept.
+    """Rows whose value is among the n highest values of the key, with `place`; ties are kept, and rows
+    without a key are a group too.
 
     The n values are found over distinct (key, value) pairs, where each task passes on n rows
     per key; the rows themselves then join them on (key, value).
@@ -24,7 +25,8 @@ def top_per_group(df: DataFrame, keys: Sequence[str], value: str, n: int) -> Dat
     best = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value))
     values = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
     places = values.withColumn("place", F.row_number().over(best)).where(F.col("place") <= n)
-    return skew_join(df, places.withColumn("place", F.col("place").cast("long")), [*keys, value])
+    places = places.withColumn("place", F.col("place").cast("long"))
+    return skew_join(df, places, [*keys, value], null_safe=True)
 
 
 def top_overall(df: DataFrame, value: str, n: int) -> DataFrame:

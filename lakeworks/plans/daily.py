@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakeworks.operators.transform import one_per_key
 from lakeworks.plans.metrics import RunLog
 from lakeworks.quality import checks, gate, quarantine
-from lakeworks.runtime import build_session, mean, total
+from lakeworks.runtime import build_session, materialise, mean, total
 from lakeworks.sinks.tables import write_refs
 from lakeworks.sources.files import read_refs
 
@@ -43,7 +43,7 @@ class Lake:
 def bronze(spark: SparkSession, incoming: str, lake: Lake, refs: Sequence[str], ingested_at: str | None = None) -> dict:
     """The days' files as they are, with day, origin and time of ingestion."""
     paths = [f"{incoming}/{ref}/vendas.parquet" for ref in refs]
-    raw = spark.read.parquet(*paths)
+    raw = spark.read.option("mergeSchema", True).parquet(*paths)
     when = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
     rows = raw.select(
         "*",
@@ -62,8 +62,9 @@ def silver(spark: SparkSession, lake: Lake, refs: Sequence[str], ingested_at: st
     Rules come before deduplication, so a broken copy cannot push out a good one.
     """
     day = read_refs(spark, lake.bronze, "_data_ref", refs).withColumnRenamed("_data_ref", "data_ref")
+    # marked once: both halves read the written rows
     valid, bad = quarantine.split(
-        quarantine.mark(day, RULES), critical=[n for n in RULES if n.endswith("_missing")], at=ingested_at
+        materialise(quarantine.mark(day, RULES), "marked"), critical=[n for n in RULES if n.endswith("_missing")], at=ingested_at
     )
     newest = ["_ingestion_ts", "order_date", "_file_origin", F.xxhash64(*valid.columns)]
     kept = one_per_key(valid, ["data_ref", "order_id"], newest)

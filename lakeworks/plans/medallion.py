@@ -10,7 +10,7 @@ from lakeworks.operators.skew import By
 from lakeworks.operators.transform import one_per_key, union_all
 from lakeworks.plans.daily import Lake
 from lakeworks.quality import quarantine
-from lakeworks.runtime import total
+from lakeworks.runtime import materialise, total
 from lakeworks.schemas import SILVER
 from lakeworks.sinks.tables import write
 from lakeworks.sources import partners
@@ -49,7 +49,7 @@ def unified(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def silver(spark: SparkSession, lake: Lake, as_of: str, ingested_at: str | None = None) -> dict:
-    marked = quarantine.mark(unified(spark, lake), rules(as_of))
+    marked = materialise(quarantine.mark(unified(spark, lake), rules(as_of)), "marked")
     valid, bad = quarantine.split(marked, critical=["order_id_missing"], at=ingested_at)
     kept = one_per_key(valid, ["order_id"], ["order_date", F.xxhash64(*valid.columns)])
     return {

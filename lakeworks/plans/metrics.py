@@ -28,7 +28,7 @@ class RunLog:
         try:
             counts = work()
         except Exception as error:
-            self._add("ERROR", "event", name, None, None, start, str(error)[:500])
+            self._add("ERROR", "event", name, None, None, start, str(error))
             self.save()
             raise
         self._add("INFO", "metric", name, counts["rows"], counts.get("rejected", 0), start, None)

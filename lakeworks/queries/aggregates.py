@@ -151,6 +151,19 @@ def _(spark, d):
     return agg.share_in_group(sales(spark, d), ["shipping_state"], ["payment_method"], "total_amount")
 
 
+@query(
+    "a11_percent_with_missing_states",
+    f"""WITH x AS (SELECT nullif(shipping_state, 'BRAZIL') AS shipping_state, payment_method, total_amount FROM s),
+          g AS (SELECT shipping_state, payment_method, {REVENUE} AS revenue, COUNT(*) AS orders,
+            SUM(CAST(total_amount AS DECIMAL(18,2))) AS v FROM x GROUP BY 1, 2)
+        SELECT shipping_state, payment_method, orders, revenue,
+          revenue / CAST(SUM(v) OVER (PARTITION BY shipping_state) AS DOUBLE) * 100 AS percent FROM g""",
+)
+def _(spark, d):
+    rows = sales(spark, d).withColumn("shipping_state", F.nullif("shipping_state", F.lit("BRAZIL")))
+    return agg.share_in_group(rows, ["shipping_state"], ["payment_method"], "total_amount")
+
+
 MODE = """SELECT shipping_state, payment_method AS top_method, n AS top_method_count FROM (
     SELECT shipping_state, payment_method, COUNT(*) AS n, ROW_NUMBER() OVER (PARTITION BY shipping_state
       ORDER BY COUNT(*) DESC, payment_method) AS place FROM s GROUP BY 1, 2) WHERE place = 1"""

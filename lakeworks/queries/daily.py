@@ -257,7 +257,7 @@ def _(spark, d):
     half = len(refs) // 2
     for part in (refs[:half], refs[half:]):
         for ref in part:
-            fs.rename(Path(f"{incoming}/{ref}/vendas.parquet"), Path(f"{base}/in/{ref}"))
+            fs.rename(Path(f"{incoming}/{ref}"), Path(f"{base}/in/{ref}"))
         process_new_files(
             spark, f"{base}/in", lake, f"{base}/checkpoint", schema_of(spark, d), product_rows(spark, d),
             files_per_batch=20, ingested_at=AT,

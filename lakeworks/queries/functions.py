@@ -299,7 +299,7 @@ def _(spark, d):
 
 @query(
     "d06_temp_view",
-    "SELECT segment, COUNT(*) AS lines FROM li JOIN o USING (order_id) JOIN c USING (customer_id) WHERE quantity > 25 GROUP BY 1",
+    "SELECT segment, COUNT(*) AS lines FROM li JOIN o USING (order_id) JOIN c USING (customer_id) GROUP BY 1",
 )
 def _(spark, d):
     lines(spark, d).createOrReplaceTempView("lakeworks_lines")
@@ -307,5 +307,5 @@ def _(spark, d):
     customers(spark, d).createOrReplaceTempView("lakeworks_customers")
     return spark.sql(
         """SELECT segment, count(*) AS lines FROM lakeworks_lines JOIN lakeworks_orders USING (order_id)
-           JOIN lakeworks_customers USING (customer_id) WHERE quantity > 25 GROUP BY segment"""
+           JOIN lakeworks_customers USING (customer_id) GROUP BY segment"""
     )

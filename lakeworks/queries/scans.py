@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-
 from pyspark.sql import functions as F
 
 from lakeworks.plans.feeds import land_legacy, land_pages, land_parquet, sale_rows
@@ -135,6 +132,31 @@ def _(spark, d):
     return split_counts(*files.read_with_corrupt(spark, path, target, form="csv"))
 
 
+@query(
+    "s08_corrupt_csv_values",
+    """SELECT CASE WHEN order_id % 50 = 7 THEN 'corrupt' ELSE 'valid' END AS part, COUNT(*) AS rows,
+       COUNT(*) FILTER (order_id % 50 <> 7 AND order_id % 3 = 0) AS with_break,
+       COUNT(*) FILTER (order_id % 50 <> 7) AS with_accent FROM o GROUP BY 1""",
+)
+def _(spark, d):
+    """Quoted line breaks, accents in ISO-8859-1 and a quoted heading; every fiftieth amount is no number."""
+    path = fresh_path(spark, "csv")
+    amount = F.when(F.col("order_id") % 50 == 7, "12,3x").otherwise(F.col("total_amount").cast("string"))
+    city = F.when(F.col("order_id") % 3 == 0, "S\u00e3o\nPaulo").otherwise("S\u00e3o Paulo")
+    rows = simple(spark, d).select("order_id", city.alias("city"), amount.alias("total_amount"))
+    rows.write.options(header=True, quoteAll=True, encoding="ISO-8859-1").csv(path)
+    target = schema(order_id="long", city="string", total_amount="double")
+    valid, corrupt = files.read_with_corrupt(spark, path, target, form="csv", encoding="ISO-8859-1")
+    good = valid.agg(
+        F.lit("valid").alias("part"), F.count("*").alias("rows"), F.count_if(F.col("city").contains("\n")).alias("with_break"),
+        F.count_if(F.col("city").startswith("S\u00e3o")).alias("with_accent"),
+    )
+    nothing = F.lit(0).cast("long")
+    return good.unionByName(
+        corrupt.agg(F.lit("corrupt").alias("part"), F.count("*").alias("rows"), nothing.alias("with_break"), nothing.alias("with_accent"))
+    )
+
+
 @query("s09_json_options", "SELECT order_id, status, strftime(order_date, '%Y-%m-%d') AS order_date FROM o")
 def _(spark, d):
     """Names without quotes, values in single quotes, dates day first."""
@@ -263,28 +285,27 @@ def _(spark, d):
     "s16_calendar_from_a_range",
     f"""WITH g AS (SELECT order_date, {REVENUE} AS revenue FROM o GROUP BY 1)
         SELECT strftime(day, '%Y-%m-%d') AS day, COALESCE(revenue, 0) AS revenue FROM
-          (SELECT CAST(UNNEST(generate_series(DATE '1995-01-01', (SELECT MAX(order_date) FROM o), INTERVAL 1 DAY)) AS DATE) AS day)
+          (SELECT CAST(UNNEST(generate_series((SELECT MIN(order_date) FROM o), (SELECT MAX(order_date) FROM o), INTERVAL 1 DAY)) AS DATE) AS day)
           LEFT JOIN g ON order_date = day""",
 )
 def _(spark, d):
     """A day without orders still has a row: the calendar comes from a number range."""
     fact = orders_fact(spark, d)
     daily = fact.groupBy("order_date").agg(total("total_amount").alias("revenue"))
-    last = daily.agg(F.max("order_date")).first()[0]
-    days = (last - date(1995, 1, 1)).days + 1
-    calendar = spark.range(days).select(F.date_add(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("order_date"))
+    first, last = daily.agg(F.min("order_date"), F.max("order_date")).first()
+    days = spark.range((last - first).days + 1)
+    calendar = days.select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("order_date"))
     out = calendar.join(daily, "order_date", "left").fillna({"revenue": 0.0})
     return out.select(F.date_format("order_date", "yyyy-MM-dd").alias("day"), "revenue")
 
 
 @query(
     "s17_lineage_columns",
-    """SELECT 'partner_c' AS _source, COUNT(*) AS rows, TRUE AS from_file, '2024-01-15 06:00:00' AS ingested FROM o
-       WHERE partner_source = 'partner_c'""",
+    """SELECT 'partner_c' AS _source, COUNT(*) AS rows, TRUE AS from_file, '2024-01-15 06:00:00' AS ingested FROM o""",
 )
 def _(spark, d):
     path = fresh_path(spark, "partner-c")
-    land_parquet(sale_rows(spark, d).where("partner_source = 'partner_c'"), path)
+    land_parquet(sale_rows(spark, d), path)
     feed = partners.parquet_feed(spark, path, ingested_at="2024-01-15 06:00:00")
     return feed.groupBy("_source").agg(
         F.count("*").alias("rows"),
@@ -300,26 +321,6 @@ def _(spark, d):
     return by(files.read_orc(spark, path), "status")
 
 
-@query("s18_external_formats", "SELECT COUNT(*) AS rows, TRUE AS avro, TRUE AS delta FROM orders")
-def _(spark, d):
-    """Avro and Delta read when their package is in the session; otherwise the error says so."""
-    fact = simple(spark, d)
-
-    def handled(form):
-        path = fresh_path(spark, form)
-        try:
-            fact.write.format(form).save(path)
-            return files.read_external(spark, form, path).count() == fact.count()
-        except ImportError:
-            return True
-        except Exception as error:  # the writer without its package
-            return "DATA_SOURCE" in str(error) or "AVRO" in str(error).upper() or "Failed to find" in str(error)
-
-    return table(spark, d, "orders").agg(F.count("*").alias("rows")).withColumns(
-        {"avro": F.lit(handled("avro")), "delta": F.lit(handled("delta"))}
-    )
-
-
 @query(
     "s03_s05_s10_three_formats_one_schema",
     f"""SELECT partner_source AS _source, COUNT(*) AS rows, {REVENUE} AS revenue,

@@ -159,6 +159,29 @@ def _(spark, d):
     return out.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
 
 
+@query(
+    "n02_top_three_with_missing_states",
+    f"""WITH t AS (SELECT nullif(shipping_state, 'BRAZIL') AS shipping_state, customer_id, spent FROM ({TOTALS})),
+        r AS (SELECT *, DENSE_RANK() OVER (PARTITION BY shipping_state ORDER BY spent DESC) AS place FROM t)
+        SELECT * FROM r WHERE place <= 3""",
+)
+def _(spark, d):
+    """Customers without a state are a group like any other."""
+    rows = spent(spark, d).withColumn("shipping_state", F.nullif("shipping_state", F.lit("BRAZIL")))
+    return win.top_per_group(rows, ["shipping_state"], "spent", 3)
+
+
+@query(
+    "n09_totals_with_missing_customers",
+    """WITH b AS (SELECT order_id, CASE WHEN order_id % 20 = 0 THEN NULL ELSE customer_id END AS customer_id FROM o)
+       SELECT order_id, customer_id, COUNT(*) OVER (PARTITION BY customer_id) AS orders_of_customer FROM b""",
+)
+def _(spark, d):
+    """Orders without a customer get the total of all such orders, as in a window."""
+    fact = orders_fact(spark, d).selectExpr("order_id", "CASE WHEN order_id % 20 <> 0 THEN customer_id END AS customer_id")
+    return with_group_totals(fact, ["customer_id"], {"orders_of_customer": F.count("*")})
+
+
 @query(
     "n09_recurring_customers",
     """SELECT order_id, customer_id, COUNT(*) OVER (PARTITION BY customer_id) AS orders_of_customer,

@@ -14,6 +14,21 @@ def file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, Path = file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(Path(path))] if fs.exists(Path(path)) else []
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a table is laid out by, outermost first, from the names of its folders."""
+    columns = []
+    while folder := next((name for name in children(spark, path) if "=" in name), None):
+        columns.append(folder.split("=", 1)[0])
+        path = f"{path}/{folder}"
+    return columns
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, Path = file_system(spark, path)
     return fs.exists(Path(path))

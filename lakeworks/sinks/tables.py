@@ -6,10 +6,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeworks.operators.transform import align, one_per_key
 from lakeworks.runtime import fresh_path
-from lakeworks.sinks.files import exists, remove, swap_in
+from lakeworks.sinks.files import exists, partition_columns, remove, swap_in
+
+
+#: The name Spark gives the folder of rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class EmptyWriteError(ValueError):
@@ -62,19 +67,27 @@ def write_refs(
 ) -> int:
     """Replace exactly the partitions `refs` with the frame's rows of those.
 
-    A single ref is written as it comes: there is nothing to gather, and the rows save a shuffle.
+    The key is written as text. A row of another ref is an error that ends the write before any
+    partition changes; None among `refs` stands for rows without a key. A single ref is written as it
+    comes: there is nothing to gather, and the rows save a shuffle.
 
     Dynamic overwrite leaves a partition alone when the frame has no rows for it; a ref that
-    became empty is therefore removed after the write. Rows are counted per ref on the way.
+    became empty is therefore removed after the write. The refs met are collected on the way.
     """
-    refs = list(refs)
+    refs, named = list(refs), [r for r in refs if r is not None]
     text = F.col(key).cast("string")
-    counts = {f"ref_{i}": F.count_if(text == ref) for i, ref in enumerate(refs)}
+    fits = text.isin(named) if named else F.lit(False)
+    fits = F.coalesce(fits, F.lit(False)) | text.isNull() if None in refs else F.coalesce(fits, F.lit(False))
+    stray = F.raise_error(F.concat(F.lit(f"{key} is none of those to write: "), F.coalesce(text, F.lit("null"))))
+    df = df.withColumn(key, F.when(fits, text).otherwise(stray.cast("string")))
     gather = len(refs) > 1 if gather is None else gather
-    found = write_observed(df.where(text.isin(refs)), path, [key], counts, gather=gather, **options)
-    for i, ref in enumerate(refs):
-        if not found[f"ref_{i}"] and exists(df.sparkSession, f"{path}/{key}={ref}"):
-            remove(df.sparkSession, f"{path}/{key}={ref}")
+    met = {"_refs": F.collect_set(key), "_without": F.count_if(F.col(key).isNull())}
+    found = write_observed(df, path, [key], met, gather=gather, **options)
+    there = {*found["_refs"], *([None] if found["_without"] else [])}
+    for ref in (r for r in refs if r not in there):
+        folder = f"{path}/{key}={NO_VALUE if ref is None else ref}"
+        if exists(df.sparkSession, folder):
+            remove(df.sparkSession, folder)
     return found["rows"]
 
 
@@ -132,6 +145,15 @@ def round_trip(df: DataFrame, written: DataFrame) -> DataFrame:
     )
 
 
+def read_text_keys(spark: SparkSession, path: str, keys: Sequence[str], folders: Sequence[str] | None = None) -> DataFrame:
+    """A table with merged schemas, its partition columns as the text in the folder names: `01` stays `01`."""
+    reader = spark.read.options(mergeSchema=True, basePath=path)
+    paths = [path] if folders is None else [f"{path}/{f}" for f in folders]
+    found = reader.parquet(*paths).schema
+    texts = T.StructType([T.StructField(f.name, T.StringType()) if f.name in keys else f for f in found])
+    return reader.schema(texts).parquet(*paths)
+
+
 def upsert(
     changes: DataFrame,
     path: str,
@@ -145,13 +167,15 @@ def upsert(
     and rewritten; a partition whose last rows moved away is removed.
     """
     spark = changes.sparkSession
-    current = spark.read.parquet(path)
+    current = read_text_keys(spark, path, [partition])
+    changes = changes.withColumn(partition, F.col(partition).cast("string"))
     changed = changes.select(*keys).distinct()
     homes = current.join(changed, list(keys), "left_semi").select(partition)
-    touched = homes.unionByName(changes.select(partition)).distinct().select(F.col(partition).cast("string"))
+    touched = homes.unionByName(changes.select(partition)).distinct()
     # names of partitions, as many as there are folders to rewrite
-    names = sorted(r[0] for r in touched.collect())
-    old = current.where(F.col(partition).cast("string").isin(names))
+    names = [r[0] for r in touched.collect()]
+    inside = F.col(partition).isin([n for n in names if n is not None])
+    old = current.where(inside | F.col(partition).isNull() if None in names else inside)
     merged = one_per_key(old.unionByName(changes.select(*current.columns)), keys, order)
     return write_refs(merged, path, partition, names)
 
@@ -161,16 +185,23 @@ def archive_expired(
 ) -> tuple[int, int]:
     """Move rows older than `keep_days` to the archive; returns (kept, archived).
 
-    The archive is partitioned by the day of the run, so a repeated run replaces its own rows;
-    the live table is written beside itself and swapped, never over the files being read.
+    The archive is laid out by the day of the run, by the batch (named after the rows it holds) and then
+    like the live table. So a later run adds to the archive, and a run that is repeated after it broke off
+    between archive and live table replaces its own batch. The live table keeps its layout; it is
+    written beside itself and swapped, never over the files being read, and left alone if nothing expired.
     """
-    rows = spark.read.parquet(live)
+    keys = partition_columns(spark, live)
+    rows = read_text_keys(spark, live, keys)
     age = F.datediff(F.lit(as_of).cast("date"), F.col(date).cast("date"))
     expired = F.coalesce(age > keep_days, F.lit(False))
-    moved = write(
-        rows.where(expired).withColumn("_archived_on", F.lit(as_of)), archive, ["_archived_on"], gather=False
+    batch = fingerprint(rows.where(expired)).first()
+    if not batch["rows"]:
+        return rows.count(), 0
+    gone = rows.where(expired).withColumns(
+        {"_archived_on": F.lit(as_of), "_batch": F.lit(f"{batch['rows']}x{batch['hash']}")}
     )
-    kept = staged_overwrite(rows.where(~expired), live)
+    moved = write(gone, archive, ["_archived_on", "_batch", *keys], gather=False)
+    kept = staged_overwrite(rows.where(~expired), live, keys)
     return kept, moved
 
 
@@ -189,10 +220,12 @@ def layout(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFram
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str] = (), files: int | None = None) -> int:
-    """Rewrite a table with fewer files: gathered by partition key, or as `files` even pieces."""
-    df = spark.read.parquet(path)
+    """Rewrite a table with fewer files: gathered by its partition keys (found in its folders if not
+    named), or as `files` even pieces of a table without any."""
+    keys = list(keys) or partition_columns(spark, path)
+    df = read_text_keys(spark, path, keys)
     if not keys:
-        df = df.coalesce(files) if files else df.hint("rebalance")
+        df = df.repartition(files) if files else df.hint("rebalance")
     return staged_overwrite(df, path, keys)
 
 

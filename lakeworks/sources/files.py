@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeworks.sinks.files import exists
+from lakeworks.runtime import materialise
+from lakeworks.sinks.files import children
+from lakeworks.sinks.tables import read_text_keys
 
 CORRUPT = "_corrupt_record"
 
@@ -46,21 +48,21 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | None
 def read_with_corrupt(
     spark: SparkSession, path: str, schema: T.StructType, form: str = "json", **options
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid, corrupt): lines that fit the schema, and the text of those that do not.
+    """(valid, corrupt): rows that fit the schema, and the text of those that do not.
 
-    The lines are read as text and parsed in the plan. Reading them as JSON or CSV would parse
-    only the columns a query uses, and a row would be corrupt in one query and valid in the next.
+    A reader parses only the columns a query uses, and a row would be corrupt in one query and valid in
+    the next. So JSON lines are read as text and parsed in the plan, and CSV rows, which may hold quoted
+    line breaks and any encoding, are parsed once with all columns and written to the shared folder.
+    A CSV file is one task unless `multiLine=False` promises that no value holds a line break.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     if form == "csv":
-        heading = options.get("sep", ",").join(schema.fieldNames())
-        lines = lines.where(F.col("value") != heading)
-        parsed = F.from_csv("value", wide.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    else:
-        parsed = F.from_json("value", wide, options)
-    rows = lines.select(parsed.alias("row"))
+        rows = materialise(read_csv(spark, path, wide, **{"multiLine": True, **options}), "parsed-csv")
+        bad = F.col(CORRUPT).isNotNull()
+        return rows.where(~bad).drop(CORRUPT), rows.where(bad)
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    rows = lines.select(F.from_json("value", wide, options).alias("row"))
     bad = F.col(f"row.{CORRUPT}").isNotNull()
     return rows.where(~bad).select("row.*").drop(CORRUPT), rows.where(bad).select("row.*")
 
@@ -93,12 +95,12 @@ def read_partitions(spark: SparkSession, base: str, condition: str | None = None
 
 
 def read_refs(spark: SparkSession, base: str, key: str, refs: Sequence[str]) -> DataFrame:
-    """The partitions `refs` of a table, the key as text. Only their folders are listed, however
-    many others the table has; a ref without a folder has no rows."""
-    there = [f"{base}/{key}={ref}" for ref in refs if exists(spark, f"{base}/{key}={ref}")]
-    reader = spark.read.option("basePath", base)
-    df = reader.parquet(*there) if there else reader.parquet(base).limit(0)
-    return df.withColumn(key, F.col(key).cast("string"))
+    """The partitions `refs` of a table, the key as the text in the folder names, columns that came
+    later as null before. The table's folder is listed once and only those of the refs are read; a ref
+    without a folder has no rows."""
+    names = set(children(spark, base))
+    there = [f"{key}={ref}" for ref in refs if f"{key}={ref}" in names]
+    return read_text_keys(spark, base, [key], there) if there else read_text_keys(spark, base, [key]).limit(0)
 
 
 def read_day(spark: SparkSession, incoming: str, data_ref: str, file: str = "vendas.parquet") -> DataFrame:

@@ -8,6 +8,8 @@ day adds to the first. Silver and Gold of the touched days are then made again f
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +17,6 @@ from pyspark.sql import types as T
 from lakeworks.plans import daily
 from lakeworks.sinks.tables import write
 
-DAY_IN_PATH = r"/(?:[a-z_]+=)?([^/=]+)/[^/]+$"
-
-
 def file_stream(spark: SparkSession, incoming: str, schema: T.StructType, files_per_batch: int) -> DataFrame:
     """Rows of the files below `incoming/<day>/`, with day and file."""
     rows = (
@@ -28,12 +27,15 @@ def file_stream(spark: SparkSession, incoming: str, schema: T.StructType, files_
         .parquet(incoming)
     )
     path = F.col("_metadata.file_path")
+    # the day is the first folder below `incoming`, whether the file lies there or deeper
+    below = re.escape(re.sub(r"^[a-z]+:/*", "/", incoming).rstrip("/")) + r"/(?:\w+=)?([^/]+)/(.+)$"
     return rows.select(
         "*",
         path.alias("_file_origin"),
-        F.regexp_extract(path, DAY_IN_PATH, 1).alias("_data_ref"),
-        # the name of the file, not its folder: a repeated delivery lands in the same place
-        F.regexp_extract(path, r"([^/]+)$", 1).alias("_file"),
+        F.regexp_extract(path, below, 1).alias("_data_ref"),
+        # the file's path below its day: a repeated delivery lands in the same place, another file
+        # of the same name in another folder does not
+        F.replace(F.regexp_extract(path, below, 2), F.lit("/"), F.lit("~")).alias("_file"),
     )
 
 
@@ -62,11 +64,18 @@ def process_new_files(
 ) -> int:
     """Take all files not seen yet, in bounded batches, then stop. Returns the number of batches."""
     stream = file_stream(spark, incoming, schema, files_per_batch)
+    batches = 0
+
+    def taken(batch: DataFrame, _: int) -> None:
+        nonlocal batches
+        land(batch, lake, products, ingested_at)
+        batches += 1
+
     query = (
-        stream.writeStream.foreachBatch(lambda batch, _: land(batch, lake, products, ingested_at))
+        stream.writeStream.foreachBatch(taken)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+    return batches

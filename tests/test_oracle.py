@@ -5,8 +5,9 @@ from checking import compare, database
 from conftest import SF_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lakeworks import queries as registered
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = registered.load()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def db():
 
 def test_every_query_has_sql():
     assert sorted(QUERIES) == sorted(ORACLES)
+    assert QUERIES.keys() <= queries().keys() and ORACLES.keys() <= oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakeworks.operators.joins import for_each_value
 from lakeworks.operators.transform import align, compare_schemas, hash_sample, one_per_key
 from lakeworks.plans import daily, metrics
 from lakeworks.plans.feeds import land_days, product_rows, sale_rows
@@ -10,7 +11,7 @@ from lakeworks.plans.sales import orders_fact
 from lakeworks.runtime import shared_folder
 from lakeworks.schemas import schema
 from lakeworks.sinks import tables
-from lakeworks.sinks.files import exists, swap_in
+from lakeworks.sinks.files import exists, partition_columns, swap_in
 from lakeworks.sources import files
 
 DAYS = [("2024-01-14", 1, 10.0), ("2024-01-14", 2, 20.0), ("2024-01-15", 3, 30.0), ("2024-01-15", 4, 40.0),
@@ -43,6 +44,76 @@ def test_a_day_that_became_empty_goes(spark, days, path):
     assert content(spark, p) == [("2024-01-14", 1, 10.0)]
 
 
+def test_stray_rows_end_the_write_and_delete_nothing(spark, days, path):
+    p = path()
+    tables.write(days, p, ["data_ref"])
+    for stray in (days, days.withColumn("data_ref", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="none of those to write"):
+            tables.write_refs(stray, p, "data_ref", ["2024-01-14"])
+    assert len(content(spark, p)) == 5
+
+
+def test_refs_with_leading_zeros_and_none(spark, path):
+    p = path()
+    df = spark.createDataFrame([("01", 1), ("02", 2), ("12", 3), (None, 4)], "m string, id long")
+    tables.write_refs(df, p, "m", ["01", "02", "12", None])
+    again = files.read_refs(spark, p, "m", ["01", "12"])
+    assert sorted((r.m, r.id) for r in again.collect()) == [("01", 1), ("12", 3)]
+    assert tables.write_refs(again, path(), "m", ["01", "12"]) == 2
+    assert tables.write_refs(df.where("id = 1"), p, "m", ["01", None]) == 1
+    assert sorted(r.id for r in spark.read.parquet(p).collect()) == [1, 2, 3]
+
+
+def test_columns_that_came_later_are_read(spark, path):
+    p = path()
+    spark.createDataFrame([("01", 1)], "k string, id long").write.partitionBy("k").parquet(p)
+    spark.createDataFrame([("02", 2, "x")], "k string, id long, x string").write.mode("append").partitionBy("k").parquet(p)
+    rows = files.read_refs(spark, p, "k", ["01", "02"]).collect()
+    assert sorted((r.k, r.id, r.x) for r in rows) == [("01", 1, None), ("02", 2, "x")]
+
+
+def test_upsert_with_rows_without_a_partition(spark, path):
+    p = path()
+    df = spark.createDataFrame([(None, 1, 1), ("01", 2, 1), ("02", 3, 1)], "m string, id long, version int")
+    tables.write(df, p, ["m"])
+    changes = spark.createDataFrame([("01", 1, 2), (None, 2, 2), (None, 9, 2)], "m string, id long, version int")
+    tables.upsert(changes, p, ["id"], ["version"], "m")
+    assert sorted((r.id, r.m, r.version) for r in tables.read_text_keys(spark, p, ["m"]).collect()) == [
+        (1, "01", 2), (2, None, 2), (3, "02", 1), (9, None, 2)
+    ]
+
+
+def test_archive_adds_and_keeps_the_layout(spark, path):
+    live, archive = path("live"), path("archive")
+    df = spark.createDataFrame([("a", "2024-01-01", i) for i in range(100)] + [("b", "2024-03-01", 200)], "reason string, day string, id long")
+    tables.write(df.selectExpr("reason", "date(day) AS day", "id"), live, ["reason", "day"])
+    assert tables.archive_expired(spark, live, archive, "day", "2024-03-02", 30) == (1, 100)
+    late = spark.createDataFrame([("a", "2024-01-02", i) for i in (300, 301, 302)], "reason string, day string, id long")
+    tables.append(late.selectExpr("reason", "date(day) AS day", "id"), live, ["reason", "day"])
+    assert tables.archive_expired(spark, live, archive, "day", "2024-03-02", 30) == (1, 3)
+    assert tables.archive_expired(spark, live, archive, "day", "2024-03-02", 30) == (1, 0)
+    assert spark.read.parquet(archive).count() == 103 and partition_columns(spark, live) == ["reason", "day"]
+    assert partition_columns(spark, archive) == ["_archived_on", "_batch", "reason", "day"]
+    tables.compact(spark, live)
+    assert partition_columns(spark, live) == ["reason", "day"]
+
+
+def test_whole_error_messages_are_kept(spark, path):
+    log = metrics.RunLog(spark, path("log"), "job", "day")
+
+    def fails():
+        raise ValueError("x" * 3000)
+
+    with pytest.raises(ValueError):
+        log.stage("bronze", fails)
+    assert metrics.errors(metrics.read_log(spark, log.path)).first()["message"] == "x" * 3000
+
+
+def test_values_without_a_bound(spark):
+    grid = for_each_value(spark.range(2).withColumnRenamed("id", "a"), spark.range(3000).withColumnRenamed("id", "b"))
+    assert grid.count() == 6000
+
+
 def test_guard_staging_and_round_trip(spark, days, path):
     p = path()
     tables.guarded_overwrite(days, p)
