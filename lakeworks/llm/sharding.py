@@ -26,11 +26,14 @@ class Totals:
     """Running totals of group sizes, known block by block."""
 
     def __init__(self, ends: DataFrame, total: int):
-        self.ends, self.total = ends, total
+        self.ends, self.total, self.width = ends, total, total + 1
         self.blocks = self._blocks([(1, total)])
 
     def _blocks(self, ranges):
-        width = max(1, -(-sum(b - a + 1 for a, b in ranges) // POINTS))
+        # at least twice as fine as before; what can still change an answer is some blocks for each two
+        # shards, whatever their width
+        self.width = max(1, min(self.width // 2, -(-sum(b - a + 1 for a, b in ranges) // POINTS)))
+        width = self.width
         inside = None
         for a, b in ranges:
             part = F.col("end").between(a, b)
@@ -39,7 +42,7 @@ class Totals:
             self.ends.where(inside)
             .groupBy(F.expr(f"end div {width}").alias("block"))
             .agg(F.min("end").alias("low"), F.max("end").alias("high"))
-            .collect()  # at most POINTS rows and one for each range
+            .collect()  # about POINTS rows
         )
         return sorted((r["low"], r["high"]) for r in rows)
 
@@ -87,18 +90,33 @@ class Totals:
         return high
 
     def even_cuts(self, shards: int) -> list[int]:
-        """Ends of the shards: none above the least capacity, each as near an even share as that allows."""
-        capacity, points = self.capacity(shards), sorted({0, *(x for block in self.blocks for x in block)})
-        least = [self.total] * (shards + 1)
+        """Ends of the shards: none above the least capacity, each as near an even share as that allows.
+
+        A group larger than an even share has a shard to itself, and the others share the rest evenly.
+        """
+        # fewer than `shards` groups are so large
+        large = sorted(
+            (r["end"] - r["size"], r["end"])
+            for r in self.ends.where(F.col("size") * shards > self.total).select("end", "size").collect()
+        )
+        capacity, known = self.capacity(shards), {0, *(x for pair in (*self.blocks, *large) for x in pair)}
+        points, least = sorted(known), [self.total] * (shards + 1)
         for k in range(shards - 1, 0, -1):
             least[k] = points[bisect_left(points, least[k + 1] - capacity)]
         cuts, at = [], 0
         for k in range(1, shards):
-            share = at + (self.total - at) / (shards - k + 1)
+            ahead = [(a, b) for a, b in large if a >= at]
+            rest = self.total - at - sum(b - a for a, b in ahead)
+            share = rest / max(1, shards - k + 1 - len(ahead))
+            goal = at + share
+            if ahead and ahead[0][0] == at:
+                goal = ahead[0][1]
+            elif ahead and ahead[0][0] - at < 1.5 * share:
+                goal = ahead[0][0]
             first = bisect_left(points, max(least[k], at))
             last = bisect_right(points, at + capacity) - 1
-            near = bisect_left(points, share, first, last + 1)
-            at = min((points[i] for i in (near - 1, near) if first <= i <= last), key=lambda p: (abs(p - share), p))
+            near = bisect_left(points, goal, first, last + 1)
+            at = min((points[i] for i in (near - 1, near) if first <= i <= last), key=lambda p: (abs(p - goal), p))
             cuts.append(at)
         return cuts
 
@@ -121,7 +139,7 @@ def shard_by_bytes(df: DataFrame, shards: int = 40, text: str = "text", key: str
     """Every row with its shard (0 to shards - 1) and its slot in the shard.
 
     A row's size is its text's UTF-8 bytes plus 16; rows of equal texts are one group and stay together
-    (null texts are a group of their own). Slots run from 0 without gaps in the order of digest and key.
+    (null counts as empty). Slots run from 0 without gaps in the order of digest and key.
     Null keys, repeated rows and extra columns do no harm; with fewer groups than shards some shards are
     empty, and an empty table gives an empty result.
     """
@@ -130,7 +148,7 @@ def shard_by_bytes(df: DataFrame, shards: int = 40, text: str = "text", key: str
             "doc_id",
             (text_bytes("text") + 16).alias("size"),
             F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
-            F.coalesce(F.unhex(F.sha2("text", 256)), F.unhex(F.lit(""))).alias("group"),
+            F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("group"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "shard-rows",
@@ -142,7 +160,7 @@ def shard_by_bytes(df: DataFrame, shards: int = 40, text: str = "text", key: str
     )
     sums = _sums(groups, F.col("size"))
     running = F.sum("size").over(Window.partitionBy("part").orderBy("group"))
-    ends = materialise(groups.select("group", (_before(sums) + running).alias("end")), "shard-ends")
+    ends = materialise(groups.select("group", "size", (_before(sums) + running).alias("end")), "shard-ends")
     total = sum(sums.values())
     cuts = Totals(ends, total).even_cuts(shards) if total else []
     digests = {r["end"]: r["group"] for r in ends.where(F.col("end").isin(cuts)).collect()} if cuts else {}
