@@ -22,11 +22,24 @@ from pyspark.sql import DataFrame
 from lakeworks.llm.merges import END, Automaton, Merges
 from lakeworks.llm.texts import Memo, clean, in_slices
 
-#: Characters with the White_Space property.
-SPACE = "\t-\r \x85\xa0  -     　"
 CHUNK = 1 << 16
 
 
+class Shapes(dict):
+    """ASCII as it is, and for each other character one of its kind: a letter, a digit, a blank or a sign.
+
+    The file's pattern tells no more of them apart; kinds come from Python's own Unicode tables.
+    """
+
+    def __missing__(self, code: int) -> str:
+        kind = unicodedata.category(chr(code))
+        shape = chr(code) if code < 128 else "z" if kind[0] == "L" else "0" if kind[0] == "N" else "!"
+        if kind[0] == "Z" or code == 0x85:
+            shape = " "
+        self[code] = shape
+        return shape
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level files: the byte's own where it is
     a visible Latin-1 character, else the next free one from U+0100 on."""
@@ -52,13 +65,13 @@ class Counter:
 
         ranks = {(own(a), own(b)): i for i, (a, b) in enumerate(spec["model"]["merges"])}
         tokens = {own(t) for t in spec["model"]["vocab"]}
-        self.automaton = Automaton(Merges(tokens, lambda a, b: ranks.get((a, b))))
+        self.automaton = Automaton(Merges(tokens, lambda a, b: ranks.get((a, b)), 600_000), 500_000)
         self.symbols = {chr(b): symbol for b, symbol in enumerate(byte_symbols())}
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]))
-        self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACE))
-        self.gap = regex.compile(f"[{SPACE}]+")
-        self.word_count = Memo(self._word)
-        self.count_of = Memo(self._run)
+        self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\t-\r "))
+        self.shapes = Shapes()
+        self.word_count = Memo(self._word, 400_000)
+        self.count_of = Memo(self._run, 400_000)
 
     def _word(self, word: str) -> int:
         if not (word.isascii() and word.isprintable()):
@@ -74,7 +87,8 @@ class Counter:
             part = run[start : found.start() if found else len(run)]
             if part:
                 part = "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-                total += sum(self.word_count[w] for w in self.pieces.findall(part))
+                spans = self.pieces.finditer(part.translate(self.shapes))
+                total += sum(self.word_count[part[m.start() : m.end()]] for m in spans)
             if found:
                 total, start = total + 1, found.end()
         return total

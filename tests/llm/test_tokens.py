@@ -20,7 +20,7 @@ BITS = [
     *"abcdeéèüßñ \n\t'stvermld0123.,!?<|>ABCİΣ中日 ​\x1c\x85 ̈😀▁", "<|endoftext|>", "  ", "    ", "'re", "don't", "aaaa",
     "the", "ing", "▁▁", " " * 7, " " * 23, "<0x41>", "<s>", "ﬁ", "ा", "\x00", "﻿",
 ]
-texts = st.lists(st.sampled_from(BITS) | st.text(max_size=3), max_size=40).map("".join).filter(lambda t: t.isprintable() or True)
+texts = st.lists(st.sampled_from(BITS) | st.text(max_size=3), max_size=40).map("".join)
 
 
 def lib_ids(text):
@@ -53,9 +53,10 @@ def test_pieces_like_the_library(text):
     coder = sentencepiece_fst.compiled(PIECES)
     ids = np.frombuffer(coder.encode(text), "<i4")
     assert ids.tolist() == MODEL.encode(text)
-    assert coder.decode(ids) == MODEL.decode(ids.tolist())
+    back = sentencepiece_fst.decoder(PIECES).decode(ids)
+    assert back == MODEL.decode(ids.tolist())
     if "▁" not in text:
-        assert coder.decode(ids) == text
+        assert back == text
 
 
 def test_random_words_through_a_small_automaton():
