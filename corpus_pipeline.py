@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.llm import decontamination, jaccard, language, sentencepiece_fst, suffixes
-from lakeworks.llm.texts import table
+from lakeworks.llm.texts import small_batches, table
 from lakeworks.llm.token_counts import place
 from lakeworks.runtime import materialise
 
@@ -25,6 +25,7 @@ from lakeworks.runtime import materialise
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that evidence tells; the labels of `docs` train the text model. Without any
     label nothing can be told, and all documents stay."""
+    small_batches(spark)
     languages, model = language.train(docs, "text", "lang")
     if not languages:
         return docs

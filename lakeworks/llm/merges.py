@@ -25,12 +25,13 @@ def symbols_of(token: str) -> list[str]:
 class Merges:
     """The order in which neighbours merge: `rank(a, b)` is None where they never do."""
 
-    def __init__(self, tokens, rank):
-        self.tokens, self.rank = tokens, rank
+    def __init__(self, tokens, rank, most_pairs: int = 300_000):
+        self.tokens, self.rank, self.most_pairs = tokens, rank, most_pairs
         #: what is the end of a longer token; the search for a last token stops elsewhere
         self.endings = {t[i:] for t in tokens for i in range(1, len(t))}
         self._spines: dict[str, tuple] = {}
-        self._fits: dict[tuple[str, str], bool] = {}
+        self._fits: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
 
     def merged(self, symbols: list[str]) -> list[tuple]:
         """Merge a short list fully; each entry is (token, left part, right part, rank)."""
@@ -65,11 +66,15 @@ class Merges:
 
     def fits(self, a: str, b: str) -> bool:
         """Whether both tokens stay as they are when they stand side by side."""
-        known = self._fits.get((a, b))
+        beside = self._fits.get(a)
+        if beside is None:
+            beside = self._fits[a] = {}
+        known = beside.get(b)
         if known is None:
-            if len(self._fits) > 1_000_000:
-                self._fits.clear()
-            known = self._fits[a, b] = self._border_holds(self.spines(a), self.spines(b))
+            self.pairs += 1
+            if self.pairs > self.most_pairs:
+                self._fits, self.pairs = {}, 0
+            known = beside[b] = self._border_holds(self.spines(a), self.spines(b))
         return known
 
     def _border_holds(self, left: tuple, right: tuple) -> bool:
@@ -96,23 +101,25 @@ class State:
 class Automaton:
     """Deterministic transducer: each transition's output is the change in the number of tokens."""
 
-    def __init__(self, merges: Merges, most_states: int = 500_000):
+    def __init__(self, merges: Merges, most_states: int = 300_000):
         self.merges, self.most_states = merges, most_states
         self.root, self.states = State(None, 0, 0), 1
 
     def step(self, path: list[State], word: str, at: int, symbol: str) -> State:
         """The state after word[:at] and `symbol`; `path` holds the states of all shorter prefixes."""
-        merges, start, token = self.merges, at, symbol
-        tokens, endings, end = merges.tokens, merges.endings, symbol[1:]
-        while True:
-            if token in tokens or start == at:
-                before = path[start]
-                if merges.fits(before.token, token) if start else start == at or merges.spines(token):
-                    return State(token, at + 1 - start, before.count + 1)
-            if not start or token not in endings:
-                raise ValueError(f"no token ends at {symbol!r}")
+        merges, start, token, end = self.merges, at, symbol, symbol[1:]
+        tokens, endings, found = merges.tokens, merges.endings, [symbol]
+        while start and token in endings:
             start -= 1
             token = word[start : at + 1] + end
+            found.append(token)
+        # the longest is the likeliest to hold
+        for span in range(len(found), 0, -1):
+            token, before = found[span - 1], path[at + 1 - span]
+            if span == 1 or token in tokens:
+                if merges.fits(before.token, token) if before.span else span == 1 or merges.spines(token):
+                    return State(token, span, before.count + 1)
+        raise ValueError(f"no token ends at {symbol!r}")
 
     def run(self, word: str, end: str = "") -> list[State]:
         """The states after every prefix, the empty one first; `end` marks the last symbol."""

@@ -25,15 +25,41 @@ BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
+def _model(path: str):
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    return model
+
+
+class Decoder:
+    """The surface of every piece."""
+
+    def __init__(self, path: str):
+        model = _model(path)
+        self.surface = [
+            p.piece.replace(BLANK, " ").encode() if p.type == NORMAL
+            else bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE
+            else b"" if p.type == CONTROL else model.trainer_spec.unk_surface.encode()
+            for p in model.pieces
+        ]
+        self.blank_first = [p.type == NORMAL and p.piece.startswith(BLANK) for p in model.pieces]
+
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids; the blank that encoding puts first is taken off."""
+        if not len(ids):
+            return ""
+        text = b"".join(map(self.surface.__getitem__, ids.tolist()))
+        return text[self.blank_first[ids[0]] :].decode("utf-8", "replace")
+
+
 class Transducer:
     """A model file with an identity character map, blank prefix and byte fallback."""
 
     def __init__(self, path: str):
-        from sentencepiece import sentencepiece_model_pb2 as proto
-
-        model = proto.ModelProto()
-        with open(path, "rb") as file:
-            model.ParseFromString(file.read())
+        model = _model(path)
         norm, trainer = model.normalizer_spec, model.trainer_spec
         if (
             trainer.model_type != trainer.BPE or not trainer.byte_fallback or norm.precompiled_charsmap
@@ -42,13 +68,6 @@ class Transducer:
             raise ValueError(f"{path} is not a BPE model with byte fallback and an identity normaliser")
         self.id_of = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self.byte_id = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
-        self.surface = [
-            p.piece.replace(BLANK, " ").encode() if p.type == NORMAL
-            else bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE
-            else b"" if p.type == CONTROL else trainer.unk_surface.encode()
-            for p in model.pieces
-        ]
-        self.blank_first = [p.type == NORMAL and p.piece.startswith(BLANK) for p in model.pieces]
         score = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
         blanks = {p for p in score if not p.strip(BLANK)}
         if any(BLANK in p.lstrip(BLANK) or p.startswith(BLANK * 2) and p not in blanks for p in score):
@@ -57,38 +76,46 @@ class Transducer:
         self.blank_runs = Merges(blanks, lambda a, b: -score[a + b] if a + b in blanks else None)
         ranks = {p: -s for p, s in score.items() if p not in blanks}
         self.words = Automaton(Merges(ranks, lambda a, b: ranks.get(a + b)))
-        self.word = re.compile(f"{BLANK}+[^{BLANK}]*")
-        self.known = Memo(self._word)
-
-    def _word(self, word: str) -> bytes:
-        """Ids of blanks and what follows them, up to the next blank."""
+        if any("\n" in p for p in score):
+            raise ValueError(f"{path} has pieces with line breaks")
+        self.blanks_and_word = re.compile(f"{BLANK}+[^{BLANK}]*")
+        self.bytes_of = Memo(self._token)
+        self.known, self.inner = Memo(self._first), Memo(self._rest)
+
+    def _token(self, token: str) -> bytes:
+        """The ids of a token: its own, or those of its bytes."""
+        found = self.id_of.get(token)
+        return np.asarray([found] if found is not None else [self.byte_id[b] for b in token.encode()], "<i4").tobytes()
+
+    def _rest(self, part: str) -> bytes:
+        """Ids of what follows a line break, up to the next break or blank."""
+        return b"".join([self.bytes_of[t] for t in self.words.tokens(part)])
+
+    def _first(self, word: str) -> bytes:
+        """Ids of a word after a blank. No piece holds a line break, so the parts between are on their own."""
+        first, *rest = word.split("\n")
+        if rest:
+            gap = self.bytes_of["\n"]
+            return gap.join([self.known[first], *(self.inner[r] if r else b"" for r in rest)])
+        return b"".join([self.bytes_of[t] for t in self.words.tokens(BLANK + word)])
+
+    def _blanks(self, word: str) -> bytes:
+        """Ids of several blanks and the word behind them."""
         body = word.lstrip(BLANK)
-        blanks = len(word) - len(body)
-        tokens = self.words.tokens(BLANK + body)
-        if tokens[0] == BLANK:
-            tokens, run = tokens[1:], blanks
-        else:
-            run = blanks - 1
-        run_tokens = [part[0] for part in self.blank_runs.merged([BLANK] * run)]
-        ids = []
-        for token in run_tokens + tokens:
-            found = self.id_of.get(token)
-            ids += [found] if found is not None else [self.byte_id[b] for b in token.encode()]
-        return np.asarray(ids, "<i4").tobytes()
+        own, blank = self.known[body], self.bytes_of[BLANK]
+        alone = own[:4] == blank  # the last blank is a piece of its own, so it merges with those before
+        run = self.blank_runs.merged([BLANK] * (len(word) - len(body) - 1 + alone))
+        return b"".join([self.bytes_of[part[0]] for part in run]) + own[4 * alone :]
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         if not text:
             return b""
         known = self.known
-        return b"".join([known[w] for w in self.word.findall(BLANK + text.replace(" ", BLANK))])
-
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; the blank that encoding puts first is taken off."""
-        if not len(ids):
-            return ""
-        text = b"".join(map(self.surface.__getitem__, ids.tolist()))
-        return text[self.blank_first[ids[0]] :].decode("utf-8", "replace")
+        if text[0] != " " and "  " not in text and BLANK not in text:
+            return b"".join([known[w] for w in text.split(" ")])
+        words = self.blanks_and_word.findall(BLANK + text.replace(" ", BLANK))
+        return b"".join([known[w[1:]] if w[1:2] != BLANK else self._blanks(w) for w in words])
 
 
 @lru_cache(maxsize=2)
@@ -96,9 +123,14 @@ def compiled(path: str) -> Transducer:
     return Transducer(path)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def _encoded(batches, model: str, keep: list[str], text: str):
     coder = compiled(model)
-    for batch in in_slices(batches):
+    for batch in in_slices(batches, 2 << 20):
         rows = [coder.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
         values, sizes = np.frombuffer(b"".join(rows), "<i4"), [len(r) >> 2 for r in rows]
         yield pa.RecordBatch.from_arrays(
@@ -127,8 +159,8 @@ def digests(encoded: DataFrame, model: str, with_ids: bool = False) -> DataFrame
     def checked(batches):
         import hashlib
 
-        coder = compiled(model)
-        for batch in in_slices(batches):
+        coder = decoder(model)
+        for batch in in_slices(batches, 2 << 20):
             ids = batch.column(2)
             values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
             rows = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]

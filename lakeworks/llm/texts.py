@@ -17,7 +17,16 @@ WORD_BYTES = bytes(
 )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Pass rows to Python in batches of a thousand where the session has Spark's default of ten thousand:
+    rows hold whole texts, and a batch lies in memory on both sides."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -86,16 +95,19 @@ def in_slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> I
 
 
 class Memo(dict):
-    """Results by word; emptied when full, so that a worker's memory stays bounded."""
+    """Results by word, at most twice `most`: when full, what was not asked for since the last time goes."""
 
-    def __init__(self, compute: Callable, most: int = 400_000):
+    def __init__(self, compute: Callable, most: int = 120_000):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.older = compute, most, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) < 200:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
             self[key] = value
         return value

@@ -70,8 +70,8 @@ class Counter:
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]))
         self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\t-\r "))
         self.shapes = Shapes()
-        self.word_count = Memo(self._word, 400_000)
-        self.count_of = Memo(self._run, 400_000)
+        self.word_count = Memo(self._word, 200_000)
+        self.count_of = Memo(self._run, 200_000)
 
     def _word(self, word: str) -> int:
         if not (word.isascii() and word.isprintable()):
