@@ -101,8 +101,12 @@ class State:
 class Automaton:
     """Deterministic transducer: each transition's output is the change in the number of tokens."""
 
-    def __init__(self, merges: Merges, most_states: int = 300_000):
+    def __init__(self, merges: Merges, most_states: int = 400_000):
         self.merges, self.most_states = merges, most_states
+        self.forget()
+
+    def forget(self) -> None:
+        """Back to the empty prefix; what is needed is built again."""
         self.root, self.states = State(None, 0, 0), 1
 
     def step(self, path: list[State], word: str, at: int, symbol: str) -> State:
@@ -124,7 +128,7 @@ class Automaton:
     def run(self, word: str, end: str = "") -> list[State]:
         """The states after every prefix, the empty one first; `end` marks the last symbol."""
         if self.states > self.most_states:
-            self.root, self.states = State(None, 0, 0), 1
+            self.forget()
         state, path, last = self.root, [self.root], len(word) - 1
         for at, symbol in enumerate(word):
             if at == last:

@@ -78,6 +78,8 @@ class Transducer:
         self.words = Automaton(Merges(ranks, lambda a, b: ranks.get(a + b)))
         if any("\n" in p for p in score):
             raise ValueError(f"{path} has pieces with line breaks")
+        #: signs that no piece has after a letter: a border there always holds
+        self.stops = "".join(c for c in ".,!?;:" if not any(a.isalpha() and b == c for p in score for a, b in zip(p, p[1:])))
         self.blanks_and_word = re.compile(f"{BLANK}+[^{BLANK}]*")
         self.bytes_of = Memo(self._token)
         self.known, self.inner = Memo(self._first), Memo(self._rest)
@@ -89,6 +91,9 @@ class Transducer:
 
     def _rest(self, part: str) -> bytes:
         """Ids of what follows a line break, up to the next break or blank."""
+        letters = part.rstrip(self.stops)
+        if letters != part and letters[-1:].isalpha():
+            return self.inner[letters] + self.inner[part[len(letters) :]]
         return b"".join([self.bytes_of[t] for t in self.words.tokens(part)])
 
     def _first(self, word: str) -> bytes:
@@ -97,6 +102,9 @@ class Transducer:
         if rest:
             gap = self.bytes_of["\n"]
             return gap.join([self.known[first], *(self.inner[r] if r else b"" for r in rest)])
+        letters = word.rstrip(self.stops)
+        if letters != word and letters[-1:].isalpha():
+            return self.known[letters] + self.inner[word[len(letters) :]]
         return b"".join([self.bytes_of[t] for t in self.words.tokens(BLANK + word)])
 
     def _blanks(self, word: str) -> bytes:
@@ -107,6 +115,11 @@ class Transducer:
         run = self.blank_runs.merged([BLANK] * (len(word) - len(body) - 1 + alone))
         return b"".join([self.bytes_of[part[0]] for part in run]) + own[4 * alone :]
 
+    def forget(self) -> None:
+        """Give the memory of words and states back, for the worker's next task may be another's."""
+        self.words.forget()
+        self.known, self.inner = Memo(self._first), Memo(self._rest)
+
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
         if not text:
@@ -130,12 +143,14 @@ def decoder(path: str) -> Decoder:
 
 def _encoded(batches, model: str, keep: list[str], text: str):
     coder = compiled(model)
-    for batch in in_slices(batches, 2 << 20):
-        rows = [coder.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        values, sizes = np.frombuffer(b"".join(rows), "<i4"), [len(r) >> 2 for r in rows]
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(batch.schema.get_field_index(c)) for c in keep), list_column(values, sizes)], [*keep, "ids"]
-        )
+    try:
+        for batch in in_slices(batches, 2 << 20):
+            rows = [coder.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            values, sizes = np.frombuffer(b"".join(rows), "<i4"), [len(r) >> 2 for r in rows]
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*kept, list_column(values, sizes)], [*keep, "ids"])
+    finally:
+        coder.forget()
 
 
 def encode(df: DataFrame, model: str, text: str = "text", key: str = "doc_id") -> DataFrame:
