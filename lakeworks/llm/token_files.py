@@ -8,6 +8,8 @@ writing needs no count before the ids are made.
 
 from __future__ import annotations
 
+import json
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm.texts import Memo, clean, crc32_of, in_slices, list_column
+from lakeworks.llm.texts import clean, crc32_of, in_slices, list_column
 
 #: Layouts of the id column. Dictionary pages bit-pack ids by how many differ in a row group; delta pages
 #: suit ids that rise.
@@ -34,22 +36,68 @@ def tokenizer_at(path: str):
 
 class Encoder:
     """Ids of texts by the library. The file's words end at white space, so each run between blanks is
-    encoded once and remembered as little-endian 32-bit ids."""
-
-    def __init__(self, path: str):
-        self.tokenizer, self.known = tokenizer_at(path), Memo(self._one)
-
-    def _one(self, run: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
+    encoded once and remembered as little-endian 32-bit ids. Runs of letters, in lower case and
+    without the stops behind them, are one word each; the library gets many of them as one text, and ids that end a word part
+    them again."""
+
+    def __init__(self, path: str, most: int = 600_000):
+        self.tokenizer, self.most = tokenizer_at(path), most
+        self.known: dict[str, bytes] = {}
+        mark = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        ids = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(ids.values()) + 1, bool)
+        self.ends_word[[i for token, i in ids.items() if token.endswith(mark)]] = True
+
+    def _each(self, runs: list[str]) -> None:
+        for at in range(0, len(runs), 1000):
+            some = runs[at : at + 1000]
+            for run, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[run] = np.asarray(found.ids, "<u4").tobytes()
+
+    def _words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):  # a letter that the file's rules do not take for one
+                self._each(some)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(some, (ends * 4).tolist(), strict=True):
+                self.known[word] = raw[start:end]
+                start = end
 
     def learn(self, runs: set[str]) -> None:
-        """Encode what is not known yet in one call, which is cheaper than one by one."""
-        new = [r for r in runs if r not in self.known]
-        if len(self.known) + len(new) > self.known.most:
+        """Encode what is not known yet; forget all else when there is too much of it."""
+        if len(self.known) > self.most:
             self.known.clear()
-            new = list(runs)
-        for run, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[run] = np.asarray(found.ids, "<u4").tobytes()
+        known, words, made_up, others = self.known, set(), [], set()
+        for run in runs:
+            if run in known:
+                continue
+            word = run.rstrip(".,")
+            # the file's rules lower all letters, and plain ones stay single letters; a letter beyond
+            # ASCII may turn into one and a mark, which the stops would join
+            if word.isascii():
+                base = word.lower()
+                whole = word.isalpha()
+            else:
+                base = word
+                whole = word.isalpha() and (word == run or unicodedata.normalize("NFC", word).lower().isalpha())
+            if not whole:
+                others.add(run)
+                continue
+            if base not in known:
+                words.add(base)
+            if base != run:
+                made_up.append((run, base))
+        self._words(list(words))
+        self._each([o for o in others if o not in known])
+        for run, base in made_up:
+            stops = run[len(base) :]
+            if stops and stops not in known:
+                self._each([stops])
+            known[run] = known[base] + known[stops] if stops else known[base]
 
     def __call__(self, texts: list[str | None], end: int) -> list[bytes]:
         runs = [t.replace("\n", " ").split(" ") if t else [""] for t in texts]
@@ -84,7 +132,7 @@ def write_token_store(
     def encoded(batches):
         encode = encoder(tokenizer)
         before = 0
-        for batch in in_slices(batches):
+        for batch in in_slices(batches, 2 << 20):
             rows = encode(batch.column(1).to_pylist(), end)
             sizes = np.fromiter((len(r) >> 2 for r in rows), np.int64, len(rows))
             starts = before + np.cumsum(sizes) - sizes
@@ -102,7 +150,7 @@ def write_token_store(
     rows = clean(df, doc_id=key, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
     made = (
-        rows.repartitionByRange("doc_id", "text")
+        rows.repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
         .mapInArrow(encoded, f"doc_id {kind}, shard_start long, n_tokens long, ids array<int>")
         .withColumn("shard", F.spark_partition_id())
