@@ -3,8 +3,10 @@
 Suffixes of word sequences are kept at minimiser positions only, which the words themselves select: of
 every `window` runs of `gram` words the least hash. A passage of `least` words has such a position near its
 start in every document, with `prefix` words behind it. Suffixes are sorted by the hash of those words and
-by document and place; equal neighbours are the same words, and the first of them is the one to stay. A
-match is extended word by word to the left and right of its outermost suffixes.
+by document and place; equal neighbours are the same words. Each is matched with the first of its equals, and
+a match is extended word by word to the left and right of its outermost suffixes. The first may hold less of
+a passage than later ones share: where a suffix has several equals before or after it, the windows of `least` words
+around it that the first does not hold are sorted by hash in the same way, and a window's first holder keeps it.
 """
 
 from __future__ import annotations
@@ -76,7 +78,7 @@ def _sampled(batches, how: Suffixes):
 
 
 def _neighbours(batches):
-    """Sorted suffixes of one partition, each with the first of its equals: a head, other rows matched.
+    """Sorted places of one partition, each with the first of its equals, and whether there may be a third.
 
     The first and the last group may go on in other partitions: their heads are given as borders.
     """
@@ -86,12 +88,17 @@ def _neighbours(batches):
         if not batch.num_rows:
             continue
         hashes, uids, places = (batch.column(i).to_numpy() for i in (0, 2, 3))
+        at = np.arange(len(hashes))
         first = np.concatenate(([head is None or hashes[0] != head[0]], hashes[1:] != hashes[:-1]))
-        group = np.maximum.accumulate(np.where(first, np.arange(len(hashes)), -1))
+        group = np.maximum.accumulate(np.where(first, at, -1))
         known = group >= 0
         heads = np.where(known, uids[group], head[1] if head else 0), np.where(known, places[group], head[2] if head else 0)
-        match = heads[0] != uids
-        out = [pa.array(x[match]) for x in (hashes, uids, places.astype(np.int32), heads[0], heads[1].astype(np.int32))]
+        # the second of a group that ends with it has no equal but the head; what the batch does not tell may have
+        pair = known & (at == group + 1) & np.concatenate((first[1:], [False]))
+        if not begun:
+            pair[hashes == hashes[0]] = False
+        match = (heads[0] != uids) | (heads[1] != places)
+        out = [pa.array(x[match]) for x in (hashes, uids, places.astype(np.int32), heads[0], heads[1].astype(np.int32), ~pair)]
         docs = batch.column(1)
         nothing = pa.nulls(int(match.sum()), docs.type)
         yield pa.RecordBatch.from_arrays([*out, nothing, pa.array(np.zeros(int(match.sum()), bool))], _MATCH)
@@ -104,12 +111,35 @@ def _neighbours(batches):
         yield _border(head, last, docs.type)
 
 
-_MATCH = ["hash", "uid", "place", "head_uid", "head_place", "doc_id", "border"]
+_MATCH = ["hash", "uid", "place", "head_uid", "head_place", "more", "doc_id", "border"]
 
 
 def _border(head, doc_id, kind) -> pa.RecordBatch:
     values = [pa.array([int(head[0])], pa.int64()), pa.array([int(head[1])], pa.int64()), pa.array([int(head[2])], pa.int32())]
-    return pa.RecordBatch.from_arrays([*values, *values[1:], pa.array([doc_id.as_py()], kind), pa.array([True])], _MATCH)
+    return pa.RecordBatch.from_arrays(
+        [*values, *values[1:], pa.array([True]), pa.array([doc_id.as_py()], kind), pa.array([True])], _MATCH
+    )
+
+
+def _with_first(places: DataFrame, kind: str, name: str) -> DataFrame:
+    """Each place (hash, doc_id, uid, place) but the first of its equals, with that first one."""
+    order = ["hash", "doc_id", "uid", "place"]
+    matched = materialise(
+        places.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+            _neighbours,
+            f"hash long, uid long, place int, head_uid long, head_place int, more boolean, doc_id {kind}, border boolean",
+        ),
+        name,
+    )
+    # at most two borders a partition: heads of groups that a partition's edge has cut
+    borders = matched.where("border").select("hash", "doc_id", "uid", "place").distinct()
+    heads = borders.groupBy("hash").agg(F.min(F.struct("doc_id", "uid", "place")).alias("h"))
+    # a border is the first of its partition only, so the rows of its group take the first of all partitions
+    found = matched.join(F.broadcast(heads), "hash", "left").select(
+        "uid", "place", F.coalesce("h.uid", "head_uid").alias("head_uid"),
+        F.coalesce("h.place", "head_place").alias("head_place"), "more",
+    )
+    return found.where("uid != head_uid or place != head_place")
 
 
 def _chained(rows, how: Suffixes) -> list[tuple[int, int, int, int]]:
@@ -157,7 +187,7 @@ def _contexts(batches, how: Suffixes):
 
 
 def _extended(words: np.ndarray, runs, how: Suffixes) -> list[tuple[int, int]]:
-    """Spans of a document's repeated passages, as [first, after last) words."""
+    """Spans that a document shares with one earlier document each, as [first, after last) words."""
     spans = []
     for run in runs:
         a, b = run["first"], run["last"] + how.prefix
@@ -170,7 +200,44 @@ def _extended(words: np.ndarray, runs, how: Suffixes) -> list[tuple[int, int]]:
         b += int(unlike[0]) if len(unlike) else n
         if b - a >= how.least:
             spans.append((a, b))
-    return joined(spans)
+    return spans
+
+
+def _open(words: np.ndarray, places: np.ndarray, spans, how: Suffixes) -> np.ndarray:
+    """Where the windows of `least` words begin that have one of the suffixes near their start and lie in no
+    span: another document than the spans' may hold them too."""
+    edges = np.zeros(len(words) + 1, np.int64)
+    np.add.at(edges, np.maximum(0, places - how.window + 1), 1)
+    np.add.at(edges, places + 1, -1)
+    wanted = np.cumsum(edges)[: max(0, len(words) - how.least + 1)] > 0
+    for a, b in spans:
+        wanted[a : b - how.least + 1] = False
+    return np.flatnonzero(wanted)
+
+
+def _spans_and_windows(batches, how: Suffixes):
+    """Spans of each document's runs (their first and end), and its open windows by hash (no end)."""
+    for batch in in_slices(batches):
+        uids, docs, texts, runs, open_places = (batch.column(i) for i in range(5))
+        words, starts = word_hashes(texts.to_pylist())
+        hashes, rows, places, ends = [], [], [], []
+        for row, (found, at) in enumerate(zip(runs.to_pylist(), open_places.to_pylist(), strict=True)):
+            own = words[starts[row] : starts[row + 1]]
+            spans = _extended(own.view(np.int64), found or [], how)
+            near = _open(own, np.array(at or [], np.int64), spans, how)
+            hashes += [np.zeros(len(spans), np.int64), run_hashes(own, how.least)[near].view(np.int64)]
+            rows.append(np.full(len(spans) + len(near), row))
+            places += [np.array([a for a, _ in spans], np.int32), near.astype(np.int32)]
+            ends += [np.array([b for _, b in spans], np.int32), np.zeros(len(near), np.int32)]
+        if rows:
+            take = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(hashes)), docs.take(take), uids.take(take),
+                    pa.array(np.concatenate(places)), pa.array(np.concatenate(ends)),
+                ],
+                ["hash", "doc_id", "uid", "place", "end"],
+            )
 
 
 def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixes = Suffixes()) -> DataFrame:
@@ -188,23 +255,9 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
     sampled = materialise(
         rows.mapInArrow(lambda b: _sampled(b, how), f"hash long, doc_id {kind}, uid long, place int"), "suffixes"
     )
-    order = ["hash", "doc_id", "uid", "place"]
-    matched = materialise(
-        sampled.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            _neighbours, f"hash long, uid long, place int, head_uid long, head_place int, doc_id {kind}, border boolean"
-        ),
-        "neighbours",
-    )
-    # at most two borders a partition: heads of groups that a partition's edge has cut
-    borders = matched.where("border").select("hash", "doc_id", "uid", "place").distinct()
-    heads = borders.groupBy("hash").agg(F.min(F.struct("doc_id", "uid", "place")).alias("h"))
-    across = borders.join(heads, "hash").select(
-        "uid", "place", F.col("h.uid").alias("head_uid"), F.col("h.place").alias("head_place")
-    )
-    pairs = matched.where("not border").select("uid", "place", "head_uid", "head_place")
-    pairs = pairs.unionByName(across.where("uid != head_uid"))
+    pairs = _with_first(sampled, kind, "neighbours")
     runs = materialise(
-        pairs.groupBy("uid").agg(F.collect_list(F.struct("place", "head_uid", "head_place")).alias("m"))
+        pairs.where("uid != head_uid").groupBy("uid").agg(F.collect_list(F.struct("place", "head_uid", "head_place")).alias("m"))
         .mapInArrow(lambda b: _runs(b, how), "uid long, first int, last int, head_uid long, head_first int"),
         "runs",
     )
@@ -221,18 +274,29 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
     lists = spanned.join(around, ["head_uid", "head_first", "span"]).groupBy("uid").agg(
         F.collect_list(F.struct("first", "last", "left", "right")).alias("runs")
     )
-    whole = keyed.join(lists, "uid", "left").drop("uid")
+    places = pairs.where("more").groupBy("uid").agg(F.collect_set("place").alias("open"))
+    found = keyed.join(lists.join(places, "uid", "full"), "uid").select(
+        "uid", F.col(f"c{kept.index(key)}").alias("doc_id"), F.col(f"c{at}").alias("text"), "runs", "open"
+    )
+    found = materialise(
+        found.mapInArrow(lambda b: _spans_and_windows(b, how), f"hash long, doc_id {kind}, uid long, place int, end int"), "spans"
+    )
+    windows = _with_first(found.where("end = 0").drop("end"), kind, "windows").where("uid != head_uid")
+    spans = found.where("end > 0").select("uid", F.col("place").alias("first"), "end").unionByName(
+        windows.select("uid", F.col("place").alias("first"), (F.col("place") + how.least).alias("end"))
+    )
+    spans = spans.groupBy("uid").agg(F.collect_set(F.struct("first", "end")).alias("gone"))
+    whole = keyed.join(spans, "uid", "left").drop("uid")
 
     def cut(batches):
         for batch in in_slices(batches):
             texts, counts, cuts, spans = batch.column(at).to_pylist(), [], [], []
-            words, starts = word_hashes(texts)
+            _, starts = word_hashes(texts)
             for row, found in enumerate(batch.column(len(kept)).to_pylist()):
-                own = words[starts[row] : starts[row + 1]].view(np.int64)
-                gone = _extended(own, found, how) if found else []
+                gone = joined((s["first"], s["end"]) for s in found or [])
                 if gone:
                     texts[row] = cut_words(texts[row], gone)
-                counts.append(len(own))
+                counts.append(starts[row + 1] - starts[row])
                 cuts.append(sum(b - a for a, b in gone))
                 spans.append([{"first": a, "end": b} for a, b in gone])
             columns = batch.columns[: len(kept)]

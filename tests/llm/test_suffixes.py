@@ -67,6 +67,45 @@ def test_hot_groups_across_partitions(spark, make):
     assert {r.doc_id: r.n_cut for r in found} == {i: 80 * (i > 0) for i in range(300)}
 
 
+def held_in_part(trials):
+    """Documents in threes: one that holds part of a passage, and two that hold all of it."""
+    rows = []
+    for i in range(trials):
+        passage = prose(9000 + i, 60)
+        part = [*passage[13:36], "changed", *passage[37:]] if i % 2 else passage[13:]
+        for j, middle in enumerate((part, passage, passage)):
+            rows.append(" ".join([*prose(10_000 + 10 * i + j, 30), *middle, *prose(20_000 + 10 * i + j, 30)]))
+    return list(enumerate(rows))
+
+
+def test_first_holder_of_a_part(make):
+    """Every passage is cut, though its suffixes stand first in a document that holds less than a repeat."""
+    rows = held_in_part(60)
+    assert sum(map(len, brute(rows).values())) >= 60 * 60
+    assert spans(suffixes.repeats(make(rows)).collect()) == brute(rows)
+
+
+def test_first_holder_of_a_part_across_partitions(spark, make):
+    """The same in many partitions, a hot part and one document that holds the part twice before the whole."""
+    passage = prose(1, 60)
+    rows = [" ".join([*prose(50, 20), *passage[13:], *prose(51, 20), *passage[13:], *prose(52, 9), *passage])]
+    rows += [" ".join([*prose(100 + i, 20), *(passage[13:] if i % 3 else passage), *prose(900 + i, 20)]) for i in range(200)]
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = suffixes.repeats(make(list(enumerate(rows)))).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spans(found) == brute(list(enumerate(rows)))
+
+
+def test_no_missed_word(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()
+    found = QUERIES["op1_suffix_dedup"](spark, "/root/testdata/sf0.1").select("doc_id", "cut_spans").collect()
+    assert spans(found) == brute([tuple(r) for r in rows])
+
+
 def test_query_cuts_all_long_repeats(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found, want = spans(QUERIES["op1_suffix_dedup"](spark, sf_dir).collect()), brute(docs)
