@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.texts import clean, cut_words, in_slices, joined, numbered, words_of
+from lakeworks.runtime import materialise
 
 
 class SuffixAutomaton:
@@ -183,8 +184,6 @@ def find(
         hits = _matched(rows, first, window).drop("text")
         return hits.select("doc_id", "n_words", *_digest(hits))
     rows = rows.withColumn("row", F.struct(F.xxhash64("doc_id", "text"), F.monotonically_increasing_id()))
-    from lakeworks.runtime import materialise
-
     rows = materialise(rows, "decontaminate")  # row numbers must not change between passes
     passes = _matched(rows, first, window).drop("text")
     while more is not None:
@@ -226,31 +225,73 @@ def remove(
     """The documents with hit spans cut out of `text`; those with more than `most_covered` of their words
     hit go altogether. Cutting goes on until nothing is hit, since a cut brings other words together.
     All columns stay; null and empty texts are kept as they are. A document without hits is untouched.
+
+    Each decision and each cut takes the hits of all items together, in however many blocks they come: several
+    blocks mean a pass over the documents each, and then passes over the cut documents until no block hits.
     """
     names, place = df.columns, df.columns.index(text)
     df = numbered(df)
-    kept = df.columns
-    for block in item_blocks(items, item, item_text, block_bytes):
-        held = df.sparkSession.sparkContext.broadcast(block)  # at most block_bytes
+    blocks = item_blocks(items, item, item_text, block_bytes)
+    first, more = next(blocks), next(blocks, None)
+    if more is not None:
+        left = _cut_by_blocks(df, f"c{place}", lambda: item_blocks(items, item, item_text, block_bytes), window, most_covered)
+        return left.toDF(*names)
+    kept, held = df.columns, df.sparkSession.sparkContext.broadcast(first)  # at most block_bytes
 
-        def cut(batches, held=held):
-            automaton = _automaton(held.value, window)
+    def cut(batches):
+        automaton = _automaton(held.value, window)
+        for batch in in_slices(batches):
+            texts, stays, changed = batch.column(place).to_pylist(), [], False
+            for i, whole in enumerate(texts):
+                words = words_of(whole)
+                spans, stay = automaton.match(words)[0], True
+                if spans and sum(b - a for a, b in spans) > most_covered * len(words):
+                    stay, spans = False, []
+                while spans:
+                    whole = cut_words(whole, spans)
+                    changed, spans = True, automaton.match(words_of(whole))[0]
+                texts[i] = whole
+                stays.append(stay)
+            columns = batch.columns
+            if changed:
+                columns[place] = pa.array(texts, batch.schema.field(place).type)
+            yield pa.RecordBatch.from_arrays(columns, kept).filter(pa.array(stays, pa.bool_()))
+
+    return df.mapInArrow(cut, df.schema).toDF(*names)
+
+
+def _cut_by_blocks(df: DataFrame, text: str, blocks, window: int, most_covered: float) -> DataFrame:
+    """`df` (numbered columns) without the hits of all blocks. Each round joins the spans of every block on
+    the same text and then cuts; only texts that a round has cut go into the next one."""
+    # row numbers must not change between passes
+    rows = materialise(df.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
+    texts, done = rows.select("row", F.col(text).alias("text")), None
+    while True:
+        found = None
+        for block in blocks():
+            hits = _matched(texts, block, window).where("size(starts) > 0").select("row", "n_words", "starts", "ends")
+            found = hits if found is None else found.unionByName(hits)
+        found = found.groupBy("row").agg(
+            F.first("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends"))
+        )
+        share = most_covered if done is None else None  # coverage counts on the unchanged text only
+
+        def cut(batches, share=share):
             for batch in in_slices(batches):
-                texts, stays, changed = batch.column(place).to_pylist(), [], False
-                for i, whole in enumerate(texts):
-                    words = words_of(whole)
-                    spans, stay = automaton.match(words)[0], True
-                    if spans and sum(b - a for a, b in spans) > most_covered * len(words):
-                        stay, spans = False, []
-                    while spans:
-                        whole = cut_words(whole, spans)
-                        changed, spans = True, automaton.match(words_of(whole))[0]
-                    texts[i] = whole
-                    stays.append(stay)
-                columns = batch.columns
-                if changed:
-                    columns[place] = pa.array(texts, batch.schema.field(place).type)
-                yield pa.RecordBatch.from_arrays(columns, kept).filter(pa.array(stays, pa.bool_()))
-
-        df = df.mapInArrow(cut, df.schema)
-    return df.toDF(*names)
+                left = []
+                for whole, n_words, starts, ends in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+                    spans = joined(zip(starts, ends, strict=True))
+                    gone = share is not None and sum(b - a for a, b in spans) > share * n_words
+                    left.append(None if gone else cut_words(whole, spans))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, pa.string())], ["row", "text"])
+
+        changed = texts.join(found, "row").select("row", "text", "n_words", "starts", "ends")
+        changed = materialise(changed.mapInArrow(cut, "row long, text string"), "decontaminated")
+        if done is not None and changed.isEmpty():
+            break
+        last = changed.select("row", F.col("text").alias("cut"))
+        done = last if done is None else materialise(done.join(last, "row", "left_anti").unionByName(last), "decontaminated")
+        texts = changed.where("text is not null")
+    # a row that was cut has its last text, and none if it goes altogether
+    whole = rows.join(done.withColumn("hit", F.lit(True)), "row", "left").where("hit is null or cut is not null")
+    return whole.select(*(F.coalesce("cut", c).alias(c) if c == text else F.col(c) for c in df.columns))

@@ -82,6 +82,24 @@ def test_remove(spark, make):
     assert left[4].split()[-1] == "end" and not brute(left[4], [(1, item)], 10)[-1]  # the cut brought a new run together
 
 
+@pytest.mark.parametrize("block", [1, 60])
+def test_remove_in_blocks(spark, make, block):
+    """Several blocks of items leave what one block leaves."""
+    rng = random.Random(7)
+    few = lambda n: " ".join(rng.choice("abcd") for _ in range(n))  # noqa: E731  few words: many overlaps
+    one, two = " ".join(f"p{i}" for i in range(12)), " ".join(f"q{i}" for i in range(12))
+    items = [(1, one), (2, two), *((i, few(6)) for i in range(3, 9))]
+    own = lambda n: " ".join(f"w{i}" for i in range(n))
+    half = "p0 p1 p2 p3 p4 "
+    docs = [(1, f"{one} {own(6)} {two}"), (2, own(40) + f" {half}{two} p5 p6 p7 p8 p9 p10 end"), (3, None), (4, "")]
+    docs += [(i, own(60) + " " + few(rng.randint(0, 40))) for i in range(5, 25)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    whole, parts = (
+        {r.doc_id: r.text for r in decontamination.remove(make(docs), table, window=5, block_bytes=b).collect()} for b in (1 << 20, block)
+    )
+    assert parts == whole and 1 not in whole and whole[2] == own(40) + "  end"
+
+
 def test_odd_rows(spark, odd):
     table = spark.createDataFrame([(1, "other words here"), (None, None), (2, "")], "item_id long, text string")
     found = decontamination.find(odd, table).collect()
