@@ -24,8 +24,9 @@ FEATURES = 20
 
 @dataclass(frozen=True)
 class Fit:
-    """How the model is fitted. At most `most_documents` labelled documents (those of least key hash) and
-    `most_passages` evenly spaced passages of each are used; scoring knows no such bounds."""
+    """How the model is fitted. At most `most_documents` labelled documents (one text of each key, by least
+    key hash, then further texts of the same keys) and `most_passages` evenly spaced passages of each are
+    used, and equal texts of a key once; scoring knows no such bounds."""
 
     most_documents: int = 6000
     most_passages: int = 32
@@ -148,19 +149,40 @@ def fit_model(df: DataFrame, labels: DataFrame, label: str, text: str, key: str,
     known = labels.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{label}`").cast("double").alias("label"))
     known = known.dropna().where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.most_documents)  # a bounded sample
-    rows = clean(df, doc_id=key, text=text).join(F.broadcast(chosen), "doc_id").select("label", "text")
+    rows = clean(df, doc_id=key, text=text).withColumn("digest", F.xxhash64("text"))
+    # a key's first text comes before the further texts of any key, so no key takes the place of another
+    texts = rows.select("doc_id", "digest").join(F.broadcast(chosen), "doc_id").distinct()
+    firsts = texts.groupBy("doc_id").agg(F.min("digest").alias("first"))
+    texts = texts.join(F.broadcast(firsts), "doc_id").orderBy(
+        F.col("digest") != F.col("first"), F.xxhash64("doc_id", "digest"), "doc_id", "digest"
+    )
+    texts = texts.limit(fit.most_documents).select("doc_id", "digest", "label")
+    rows = rows.join(F.broadcast(texts), ["doc_id", "digest"]).select("label", "text", "doc_id", "digest")
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def measured(batches):
+        seen = set()  # at most most_documents
         for batch in in_slices(batches, 2 << 20):
+            names, new = list(zip(*(batch.column(i).to_pylist() for i in (2, 3)), strict=True)), []
+            for i, name in enumerate(names):
+                if name not in seen:
+                    seen.add(name)
+                    new.append(i)
+            if not new:
+                continue
+            batch = batch.take(pa.array(new))
             found, firsts = passages(batch.column(1).to_pylist())
             bags = []
             for a, b in zip(firsts[:-1], firsts[1:], strict=True):
                 some = np.unique(np.linspace(a, b - 1, min(b - a, fit.most_passages)).astype(int))
                 bags.append(found[some].ravel().tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.list_(pa.float64()))], ["label", "bag"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in (0, 2, 3)), pa.array(bags, pa.list_(pa.float64()))], ["label", "doc_id", "digest", "bag"]
+            )
 
-    sample = rows.mapInArrow(measured, "label double, bag array<double>").collect()
-    sample = sorted((float(r[0]), tuple(r[1])) for r in sample)[: 2 * fit.most_documents]
+    sample = rows.mapInArrow(measured, f"label double, doc_id {kind}, digest long, bag array<double>")
+    sample = sample.dropDuplicates(["doc_id", "digest"]).select("label", "bag").collect()
+    sample = sorted((float(r[0]), tuple(r[1])) for r in sample)
     truth = np.array([label for label, _ in sample])
     if len(set(truth.tolist())) < 2:
         return None

@@ -52,6 +52,26 @@ def test_labels_held_out_are_not_read(spark, make):
     assert a == b and all((s >= 0.5) == bool(i % 2) for i, s in a.items())
 
 
+def test_one_key_with_many_rows(spark, make, monkeypatch):
+    """A labelled key that holds most rows, equal and different ones, takes no other key's place in the sample."""
+    sizes, fitted = [], quality.Attention.fitted.__func__
+
+    def watched(cls, features, firsts, labels, fit):
+        sizes.append((len(labels), int(labels.sum())))
+        return fitted(cls, features, firsts, labels, fit)
+
+    monkeypatch.setattr(quality.Attention, "fitted", classmethod(watched))
+    hot = next(i for i in range(0, 99, 2) if not spark.range(1).select(quality.held_out(F.lit(i))).first()[0])
+    rows = [(i, ("good words here. " if i % 2 else "%% $$ ## ") * 9) for i in range(100, 120)]
+    rows += [(hot, "%% $$ ## " * 5)] * 60 + [(hot, f"%% {i} ## " * 5) for i in range(60)]
+    docs = make(rows)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")).distinct()
+    learnt = labels.where(~quality.held_out(F.col("doc_id")))
+    found = quality.score_quality(docs, labels, fit=quality.Fit(most_documents=30)).collect()
+    assert sizes == [(30, learnt.where("quality = 1").count())]
+    assert len(found) == len(rows) and all(r.predicted == r.doc_id % 2 for r in found)
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (5, None), (2, 0)], "doc_id long, quality int")
     found = quality.score_quality(odd, labels).collect()
