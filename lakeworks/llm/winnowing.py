@@ -1,6 +1,7 @@
 """Document fingerprints by winnowing, in built-in functions.
 
-A text is cut into units at white space. Every run of `K` units has a hash; of every `W` neighbouring
+A text is cut into units at white space; characters of scripts without spaces and those of units longer than
+`LONG` are units of their own. Every run of `K` units has a hash; of every `W` neighbouring
 hashes the least is kept, the rightmost of equal ones, with its position. Two texts that share a run of
 K + W - 1 units share a fingerprint, wherever it stands. A hash and its position are one number that
 compares as wanted, so a window's choice is a plain minimum, found by doubling: the minima of 2n
@@ -18,6 +19,10 @@ K, W = 4, 8
 #: Units of a text that are numbered together; longer texts have several overlapping parts.
 PART = 1 << 20
 PLACES = 1 << 21
+#: Characters of a unit that is taken whole; in longer ones each character is a unit.
+LONG = 48
+#: Thai to Khmer, kana to Han, Hangul and Han beyond the basic plane: no white space between words.
+UNSPACED = r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{AC00}-\x{D7AF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
 
 def bound(value: Column, use) -> Column:
@@ -25,6 +30,18 @@ def bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _units(text: Column) -> Column:
+    wide = rf"\s|(?<={UNSPACED})(?!\s|\z)|(?<!\s)(?={UNSPACED})"
+    mixed = (F.octet_length(text) > F.length(text)) & text.rlike(UNSPACED)
+    return bound(
+        F.when(mixed, F.split(text, wide)).otherwise(F.split(text, r"\s")),
+        lambda units: F.when(
+            F.exists(units, lambda u: F.length(u) > LONG),
+            F.flatten(F.transform(units, lambda u: F.when(F.length(u) > LONG, F.split(u, "")).otherwise(F.array(u)))),
+        ).otherwise(units),
+    )
+
+
 def _minima(values: Column) -> Column:
     """The kept values among numbered hashes: the minimum of each window, once."""
 
@@ -71,9 +88,12 @@ def fingerprints(text: Column) -> Column:
         found = F.transform(
             parts, lambda s: _part(units, s * PART, F.least(hashes - s * PART, F.lit(PART + W - 1).cast("long")))
         )
-        return F.array_distinct(F.flatten(found))
+        # in order of position: what two parts share stands side by side
+        return bound(
+            F.flatten(found), lambda f: F.filter(f, lambda x, i: (i == 0) | (F.get(f, i - 1)["p"] != x["p"]))
+        )
 
-    return bound(F.split(F.coalesce(text, F.lit("")), r"\s"), of)
+    return bound(F.coalesce(text, F.lit("")), lambda t: bound(_units(t), of))
 
 
 def shown(found: Column) -> Column:

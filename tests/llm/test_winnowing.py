@@ -1,6 +1,7 @@
 """Winnowing against a plain loop."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -74,6 +75,21 @@ def test_shared_run_is_found(make):
     assert {f.h for f in rows[0]} & {f.h for f in rows[1]}
 
 
+def test_texts_without_white_space(make):
+    """Edited and moved texts share fingerprints, though they are one word or have no spaces."""
+    rng = random.Random(4)
+    han = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA0)) for _ in range(n))
+    base = lambda n: "".join(rng.choices("ABCDEFGHabcdefgh0123456789+/", k=n))
+    docs = [(1, han(30)), (2, han(400)), (3, base(120)), (4, base(3000)), (5, "ไทย" * 20), (6, base(20) + " " + han(40))]
+    found = {r.doc_id: r for r in winnowing.compare_with_next(make(docs)).collect()}
+    assert all(r.near_edited > 0 for r in found.values())
+    moved = make([(i, lead + t) for i, t in docs for lead in ("", "xyz")]).select("doc_id", winnowing.fingerprints("text").alias("f"))
+    prints = {}
+    for r in moved.collect():
+        prints.setdefault(r.doc_id, []).append({f.h for f in r.f})
+    assert all(a & b for a, b in prints.values())
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op10_winnowing"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "ExistingRDD"))
