@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from lakeworks.llm import (
     decontamination,
+    fill_middle,
     jaccard,
     language,
+    oracles,
     quality,
     sentencepiece_fst,
     sharding,
@@ -118,3 +120,17 @@ def op9_quality(spark, sf_dir):
 def op10_winnowing(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
     return winnowing.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    """All documents cut at two line ends and put in the order that a model fills gaps from."""
+    found = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_in_middle"] = oracles.FILL_IN_MIDDLE
