@@ -29,3 +29,41 @@ SELECT doc_id, n, form,
        sha256(t) AS restored_sha256
 FROM parts
 """
+
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: One step of a CRC-32 for each zero bit behind a byte.
+_BITS = "list_transform(range(256), n -> list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], (c, z) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+
+RESAMPLING = f"""
+WITH corpus AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents
+), target AS (
+  SELECT regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark
+), used AS MATERIALIZED (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS f FROM corpus
+), wanted AS MATERIALIZED (
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS f FROM target
+), bits AS (SELECT {_BITS} AS t
+), hashed AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen(f) + 1), i -> ('0x' || substr(hex(f), 2 * i - 1, 2))::BIGINT)),
+                            (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT f FROM used UNION SELECT f FROM wanted), bits
+), of_corpus AS (SELECT bucket, count(*) AS s FROM used JOIN hashed USING (f) GROUP BY bucket
+), of_target AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (f) GROUP BY bucket
+), gain AS (
+  SELECT r.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM used) + 10000)
+                              / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000)))) AS g
+  FROM (SELECT unnest(range(10000)) AS bucket) r LEFT JOIN of_corpus c USING (bucket) LEFT JOIN of_target USING (bucket)
+), weight AS (
+  SELECT doc_id, count(*) AS n, floor(sum(g) / count(*))::BIGINT AS weight
+  FROM used JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM corpus LEFT JOIN weight USING (doc_id)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed
+"""

@@ -15,6 +15,7 @@ from lakeworks.llm import (
     language,
     oracles,
     quality,
+    resampling,
     sentencepiece_fst,
     sharding,
     suffixes,
@@ -122,6 +123,16 @@ def op10_winnowing(spark, sf_dir):
     return winnowing.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_importance_resampling(spark, sf_dir):
+    """Every document's weight towards the benchmark's words, and the quarter that is drawn."""
+    found = resampling.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("n_words")
+
+
+ORACLES["op11_importance_resampling"] = oracles.RESAMPLING
+
+
 @query
 def op12_fill_in_middle(spark, sf_dir):
     """All documents cut at two line ends and put in the order that a model fills gaps from."""
