@@ -33,7 +33,7 @@ FROM parts
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 #: One step of a CRC-32 for each zero bit behind a byte.
-_BITS = "list_transform(range(256), n -> list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], (c, z) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+_BITS = "list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
 
 RESAMPLING = f"""
 WITH corpus AS MATERIALIZED (
@@ -41,13 +41,13 @@ WITH corpus AS MATERIALIZED (
 ), target AS (
   SELECT regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark
 ), used AS MATERIALIZED (
-  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS f FROM corpus
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM corpus
 ), wanted AS MATERIALIZED (
-  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))) AS f FROM target
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM target
 ), bits AS (SELECT {_BITS} AS t
 ), hashed AS MATERIALIZED (
-  SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen(f) + 1), i -> ('0x' || substr(hex(f), 2 * i - 1, 2))::BIGINT)),
-                            (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  SELECT f, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, strlen(f) + 1), lambda i: ('0x' || substr(hex(f), 2 * i - 1, 2))::BIGINT)),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
   FROM (SELECT f FROM used UNION SELECT f FROM wanted), bits
 ), of_corpus AS (SELECT bucket, count(*) AS s FROM used JOIN hashed USING (f) GROUP BY bucket
 ), of_target AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (f) GROUP BY bucket
