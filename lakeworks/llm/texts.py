@@ -86,12 +86,33 @@ def list_column(values: np.ndarray, sizes) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches of few enough bytes that what is made of them fits a small worker."""
+def _row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of each row; columns other than texts count by their mean."""
+    total = np.zeros(batch.num_rows)
+    for column in batch.columns:
+        kind = column.type
+        if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+            width = np.int64 if pa.types.is_large_string(kind) or pa.types.is_large_binary(kind) else np.int32
+            offsets = np.frombuffer(column.buffers()[1], width)[column.offset : column.offset + len(column) + 1]
+            total += np.diff(offsets)
+        else:
+            total += column.nbytes / batch.num_rows
+    return total
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of few enough bytes that what is made of them fits a small worker; a longer row is a batch of its own."""
     for batch in batches:
-        rows = max(1, int(batch.num_rows * most_bytes / max(batch.nbytes, 1)))
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        if batch.nbytes <= most_bytes or batch.num_rows == 1:
+            if batch.num_rows:
+                yield batch
+            continue
+        through, start = np.cumsum(_row_bytes(batch)), 0
+        while start < batch.num_rows:
+            before = through[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(through, before + most_bytes, "right")))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 class Memo(dict):

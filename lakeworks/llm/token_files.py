@@ -9,15 +9,16 @@ writing needs no count before the ids are made.
 from __future__ import annotations
 
 import json
-import unicodedata
+import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.llm.texts import clean, crc32_of, in_slices, list_column
+from lakeworks.llm.texts import clean, in_slices, list_column
 
 #: Layouts of the id column. Dictionary pages bit-pack ids by how many differ in a row group; delta pages
 #: suit ids that rise.
@@ -34,76 +35,97 @@ def tokenizer_at(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Where the ASCII of a text cannot be lowered before the library does: marks join letters, special strings differ by case.
+_AS_IS = r"\p{M}|<\|"
+#: Latin letters that stay one letter in lower case (so not I with a dot), and stops, which no word goes on over.
+_LETTER_AND_STOP = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])([.,;:!?])"
+
+
 class Encoder:
-    """Ids of texts by the library. The file's words end at white space, so each run between blanks is
-    encoded once and remembered as little-endian 32-bit ids. Runs of letters, in lower case and
-    without the stops behind them, are one word each; the library gets many of them as one text, and ids that end a word part
-    them again."""
+    """Ids of texts by the library, each different word once.
+
+    The file's words end at blanks and between a letter and a stop, so a text is cut there, and the cut words of a
+    batch are numbered by Arrow. Words that are not known yet go to the library, runs of letters many at a time: ids
+    that end a word part them again. All known ids lie in one array, from which a batch's ids are gathered.
+    """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         self.tokenizer, self.most = tokenizer_at(path), most
-        self.known: dict[str, bytes] = {}
         mark = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
         ids = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(ids.values()) + 1, bool)
         self.ends_word[[i for token, i in ids.items() if token.endswith(mark)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Back to knowing the empty word only."""
+        self.slots: dict[str, int] = {"": 0}
+        self.ids = np.zeros(1 << 16, np.uint16 if len(self.ends_word) <= 1 << 16 else np.uint32)
+        self.ends, self.used = np.zeros(1 << 14, np.int64), 0  # where each slot's ids end
+
+    def _keep(self, words: list[str], sizes, ids) -> None:
+        first, need = len(self.slots), self.used + len(ids)
+        if need > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(need, len(self.ids)), self.ids.dtype)))
+        if first + len(words) > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros(max(len(words), len(self.ends)), np.int64)))
+        self.ids[self.used : need] = ids
+        self.ends[first : first + len(words)] = self.used + np.cumsum(sizes)
+        self.used = need
+        self.slots.update(zip(words, range(first, first + len(words)), strict=True))
 
     def _each(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 1000):
             some = runs[at : at + 1000]
-            for run, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[run] = np.asarray(found.ids, "<u4").tobytes()
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self._keep(some, [len(f) for f in found], [i for f in found for i in f])
 
     def _words(self, words: list[str]) -> None:
         for at in range(0, len(words), 500):
             some = words[at : at + 500]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some):  # a letter that the file's rules do not take for one
+            if len(ends) == len(some):
+                self._keep(some, np.diff(ends, prepend=0), ids)
+            else:  # a letter that the file's rules do not take for one
                 self._each(some)
-                continue
-            raw, start = ids.tobytes(), 0
-            for word, end in zip(some, (ends * 4).tolist(), strict=True):
-                self.known[word] = raw[start:end]
-                start = end
 
-    def learn(self, runs: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Encode what is not known yet; forget all else when there is too much of it."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        known, words, made_up, others = self.known, set(), [], set()
-        for run in runs:
-            if run in known:
-                continue
-            word = run.rstrip(".,")
-            # the file's rules lower all letters, and plain ones stay single letters; a letter beyond
-            # ASCII may turn into one and a mark, which the stops would join
-            if word.isascii():
-                base = word.lower()
-                whole = word.isalpha()
-            else:
-                base = word
-                whole = word.isalpha() and (word == run or unicodedata.normalize("NFC", word).lower().isalpha())
-            if not whole:
-                others.add(run)
-                continue
-            if base not in known:
-                words.add(base)
-            if base != run:
-                made_up.append((run, base))
-        self._words(list(words))
-        self._each([o for o in others if o not in known])
-        for run, base in made_up:
-            stops = run[len(base) :]
-            if stops and stops not in known:
-                self._each([stops])
-            known[run] = known[base] + known[stops] if stops else known[base]
+        new = [w for w in words if w not in self.slots]
+        if len(self.slots) + len(new) > self.most:
+            self.forget()
+            new = [w for w in words if w not in self.slots]
+        self._words([w for w in new if w.isalpha()])
+        self._each([w for w in new if not w.isalpha()])
+
+    def batch(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), each text's with `end` behind them, and how many each has."""
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring_regex(texts, _AS_IS), texts, pc.ascii_lower(texts))
+        texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _LETTER_AND_STOP, r"\1 \2")
+        rows = pc.split_pattern(texts, " ")
+        coded = rows.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(words)
+        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+        ends = np.insert(self.ends[slot], 0, 0)
+        sizes = np.insert(ends[1:] - np.where(slot > 0, self.ends[slot - 1], 0), 0, 1)  # 0 is the end of a text
+        borders = rows.offsets.to_numpy() - rows.offsets[0].as_py()
+        run = np.insert(coded.indices.to_numpy().astype(np.int64) + 1, borders[1:], 0)
+        size = sizes[run]
+        through = np.cumsum(size)
+        at = np.repeat(ends[run] - through, size)
+        at += np.arange(len(at))  # a run's last id is the one before its end
+        out = self.ids[at].astype(np.int32)
+        stops = through[borders[1:] + np.arange(len(texts))] - 1
+        out[stops] = end
+        return out, np.diff(stops, prepend=-1)
 
     def __call__(self, texts: list[str | None], end: int) -> list[bytes]:
-        runs = [t.replace("\n", " ").split(" ") if t else [""] for t in texts]
-        self.learn(set().union(*runs))
-        stop, known = np.asarray([end], "<u4").tobytes(), self.known
-        return [b"".join([known[r] for r in row]) + stop for row in runs]
+        ids, sizes = self.batch(pa.array(texts, pa.string()), end)
+        ends = np.cumsum(sizes)
+        return [ids[b - n : b].astype("<u4").tobytes() for b, n in zip(ends, sizes, strict=True)]
 
 
 @lru_cache(maxsize=1)
@@ -124,17 +146,17 @@ def write_token_store(
 ) -> None:
     """Encode `text` (null: empty) with the file at `tokenizer`, append `end`, and write the store.
 
-    Rows are in ascending order of `key`, null keys first, equal keys by text; every row is kept, so
-    repeated rows are written as often as they come. An empty table makes an empty store.
+    Rows are in ascending order of `key`, null keys first, equal keys by a hash of the text and as they come; every row
+    is kept, so repeated rows are written as often as they come. A key with very many rows fills several files. An empty
+    table makes an empty store.
     """
     spark = df.sparkSession
 
     def encoded(batches):
         encode = encoder(tokenizer)
         before = 0
-        for batch in in_slices(batches, 2 << 20):
-            rows = encode(batch.column(1).to_pylist(), end)
-            sizes = np.fromiter((len(r) >> 2 for r in rows), np.int64, len(rows))
+        for batch in in_slices(batches, 4 << 20):
+            ids, sizes = encode.batch(batch.column(1), end)
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
             yield pa.RecordBatch.from_arrays(
@@ -142,16 +164,18 @@ def write_token_store(
                     batch.column(0),
                     pa.array(starts),
                     pa.array(sizes),
-                    list_column(np.frombuffer(b"".join(rows), "<i4"), sizes),
+                    list_column(ids, sizes),
                 ],
                 ["doc_id", "shard_start", "n_tokens", "ids"],
             )
 
     rows = clean(df, doc_id=key, text=text)
     kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("turn"))
     made = (
-        rows.repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        rows.repartitionByRange("doc_id", "hash", "turn")
+        .sortWithinPartitions("doc_id", "hash", "turn")
+        .select("doc_id", "text")
         .mapInArrow(encoded, f"doc_id {kind}, shard_start long, n_tokens long, ids array<int>")
         .withColumn("shard", F.spark_partition_id())
     )
@@ -185,6 +209,13 @@ def read_tokens(spark: SparkSession, where: str, columns: tuple[str, ...] = ("id
     )
 
 
+def list_crc32(ids: pa.ListArray) -> list[int]:
+    """The checksum of each list of 32-bit ids as little-endian bytes."""
+    raw = memoryview(ids.values.to_numpy().astype("<i4", copy=False)).cast("B")
+    ends = (ids.offsets.to_numpy().astype(np.int64) * 4).tolist()
+    return [zlib.crc32(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def with_crc32(tokens: DataFrame) -> DataFrame:
     """The checksum of each row's ids as little-endian unsigned 32-bit numbers, instead of the ids."""
     kept = [c for c in tokens.columns if c != "ids"]
@@ -192,8 +223,7 @@ def with_crc32(tokens: DataFrame) -> DataFrame:
     def summed(batches):
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids"))
-            values, offsets = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
-            crc = [crc32_of(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            crc = list_crc32(ids)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(crc, pa.int64())],
                 [*kept, "ids_crc32"],
