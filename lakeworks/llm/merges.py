@@ -77,6 +77,14 @@ class Merges:
             known = beside[b] = self._border_holds(self.spines(a), self.spines(b))
         return known
 
+    def border_holds(self, a: str, b: str) -> bool:
+        """As `fits`, without keeping the answer."""
+        return self._border_holds(self.spines(a), self.spines(b))
+
+    def forget(self) -> None:
+        """Give back what was learnt from words."""
+        self._spines, self._fits, self.pairs = {}, {}, 0
+
     def _border_holds(self, left: tuple, right: tuple) -> bool:
         if not left or not right:
             return False
@@ -144,9 +152,19 @@ class Automaton:
             state = following
         return path
 
+    def once(self, word: str, end: str = "") -> list[str]:
+        """As `tokens`, for a word that is not met again: no transition is kept."""
+        path, last = [State(None, 0, 0)], len(word) - 1
+        for at, symbol in enumerate(word):
+            path.append(self.step(path, word, at, symbol + end if at == last else symbol))
+        return self._back(path)
+
     def tokens(self, word: str, end: str = "") -> list[str]:
         """The tokens on the one path that reaches the end, first to last."""
-        path, at, out = self.run(word, end), len(word), []
+        return self._back(self.run(word, end))
+
+    def _back(self, path: list[State]) -> list[str]:
+        at, out = len(path) - 1, []
         while at:
             out.append(path[at].token)
             at -= path[at].span

@@ -6,20 +6,26 @@ and the ids are the labels on the shortest path in the tropical semiring. The fi
 priorities, not costs that add up: adding them gives other pieces than the model's own. So a path's
 weight sums one weight for each pair of neighbouring pieces: 0 where the merges keep both pieces as they
 are, infinity where a merge would have crossed their border. Exactly one path is finite, and it is the
-model's encoding; `merges.Automaton` relaxes it prefix by prefix, with one finite state at each.
+model's encoding; `paths.Paths` relaxes it prefix by prefix, with one finite state at each, for all words of a batch that were
+not met before. No piece reaches over a blank's front, a line break or from a letter to a stop, so words end there.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lakeworks.llm.merges import Automaton, Merges
-from lakeworks.llm.texts import Memo, clean, crc32_of, in_slices, list_column
+from lakeworks.llm.known import Known
+from lakeworks.llm.merges import Merges
+from lakeworks.llm.paths import Paths
+from lakeworks.llm.texts import clean, in_slices, list_column
+from lakeworks.llm.token_files import list_crc32
 
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -39,20 +45,26 @@ class Decoder:
 
     def __init__(self, path: str):
         model = _model(path)
-        self.surface = [
+        self.surface = pa.array([
             p.piece.replace(BLANK, " ").encode() if p.type == NORMAL
             else bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE
             else b"" if p.type == CONTROL else model.trainer_spec.unk_surface.encode()
             for p in model.pieces
-        ]
-        self.blank_first = [p.type == NORMAL and p.piece.startswith(BLANK) for p in model.pieces]
+        ], pa.binary())
+        self.blank_first = np.array([p.type == NORMAL and p.piece.startswith(BLANK) for p in model.pieces])
+
+    def rows(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of each row of ids, the rows ending at `ends`; the blank that encoding puts first is taken off."""
+        found = self.surface.take(pa.array(ids))
+        data, places = memoryview(found.buffers()[2] or b""), np.frombuffer(found.buffers()[1], np.int32)
+        starts = np.concatenate(([0], ends[:-1]))
+        first = np.zeros(len(ends), np.int64)
+        first[ends > starts] = self.blank_first[ids[starts[ends > starts]]]
+        return [bytes(data[a:b]) for a, b in zip((places[starts] + first).tolist(), places[ends].tolist(), strict=True)]
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; the blank that encoding puts first is taken off."""
-        if not len(ids):
-            return ""
-        text = b"".join(map(self.surface.__getitem__, ids.tolist()))
-        return text[self.blank_first[ids[0]] :].decode("utf-8", "replace")
+        """The text of ids."""
+        return self.rows(ids, np.array([len(ids)]))[0].decode("utf-8", "replace")
 
 
 class Transducer:
@@ -75,60 +87,68 @@ class Transducer:
         # runs of blanks merge last and with equal scores, so they have a machine of their own
         self.blank_runs = Merges(blanks, lambda a, b: -score[a + b] if a + b in blanks else None)
         ranks = {p: -s for p, s in score.items() if p not in blanks}
-        self.words = Automaton(Merges(ranks, lambda a, b: ranks.get(a + b)))
+        self.paths = Paths(ranks, Merges(ranks, lambda a, b: ranks.get(a + b)))
+        self.words = self.paths.automaton
         if any("\n" in p for p in score):
             raise ValueError(f"{path} has pieces with line breaks")
         #: signs that no piece has after a letter: a border there always holds
         self.stops = "".join(c for c in ".,!?;:" if not any(a.isalpha() and b == c for p in score for a, b in zip(p, p[1:])))
-        self.blanks_and_word = re.compile(f"{BLANK}+[^{BLANK}]*")
-        self.bytes_of = Memo(self._token)
-        self.known, self.inner = Memo(self._first), Memo(self._rest)
-
-    def _token(self, token: str) -> bytes:
-        """The ids of a token: its own, or those of its bytes."""
-        found = self.id_of.get(token)
-        return np.asarray([found] if found is not None else [self.byte_id[b] for b in token.encode()], "<i4").tobytes()
-
-    def _rest(self, part: str) -> bytes:
-        """Ids of what follows a line break, up to the next break or blank."""
-        letters = part.rstrip(self.stops)
-        if letters != part and letters[-1:].isalpha():
-            return self.inner[letters] + self.inner[part[len(letters) :]]
-        return b"".join([self.bytes_of[t] for t in self.words.tokens(part)])
-
-    def _first(self, word: str) -> bytes:
-        """Ids of a word after a blank. No piece holds a line break, so the parts between are on their own."""
-        first, *rest = word.split("\n")
-        if rest:
-            gap = self.bytes_of["\n"]
-            return gap.join([self.known[first], *(self.inner[r] if r else b"" for r in rest)])
-        letters = word.rstrip(self.stops)
-        if letters != word and letters[-1:].isalpha():
-            return self.known[letters] + self.inner[word[len(letters) :]]
-        return b"".join([self.bytes_of[t] for t in self.words.tokens(BLANK + word)])
-
-    def _blanks(self, word: str) -> bytes:
-        """Ids of several blanks and the word behind them."""
-        body = word.lstrip(BLANK)
-        own, blank = self.known[body], self.bytes_of[BLANK]
-        alone = own[:4] == blank  # the last blank is a piece of its own, so it merges with those before
-        run = self.blank_runs.merged([BLANK] * (len(word) - len(body) - 1 + alone))
-        return b"".join([self.bytes_of[part[0]] for part in run]) + own[4 * alone :]
+        self.letter_and_stop = rf"(\p{{L}})([{re.escape(self.stops)}])" if self.stops else None
+        # a token without a piece is spelt in bytes
+        self.id_at = np.array([self.id_of.get(t, -1) for t in self.paths.tokens], np.int32)
+        self.known = Known(self._teach, np.uint16 if len(model.pieces) <= 1 << 16 else np.int32, 300_000)
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids."""
+        token, counts, codes = self.paths.split(words)
+        ids = self.id_at[token]
+        spelt = np.flatnonzero(ids < 0)
+        if not len(spelt):
+            return counts, ids
+        spelling = [[self.byte_id[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in codes[spelt].tolist()]
+        size = np.ones(len(ids), np.int64)
+        size[spelt] = list(map(len, spelling))
+        through = np.cumsum(size)
+        out = np.repeat(ids, size)
+        out[out < 0] = [i for found in spelling for i in found]
+        return np.diff(np.concatenate(([0], through))[np.concatenate(([0], np.cumsum(counts)))]), out
+
+    def _teach(self, words: list[str]) -> None:
+        several = [w for w in words if w.startswith(BLANK * 2)]
+        plain = [w for w in words if not w.startswith(BLANK * 2)]
+        bodies = {BLANK + w.lstrip(BLANK) for w in several}
+        plain += [b for b in bodies.difference(plain) if b not in self.known.slots]
+        if plain:
+            self.known.keep(plain, *self._ids(plain))
+        blank = self.id_of[BLANK]
+        for word in several:
+            body = word.lstrip(BLANK)
+            own = self.known.of(BLANK + body).tolist()
+            alone = own[0] == blank  # the last blank is a piece of its own, so it merges with those before
+            run = self.blank_runs.merged([BLANK] * (len(word) - len(body) - 1 + alone))
+            ids = [*(self.id_of[part[0]] for part in run), *own[alone:]]
+            self.known.keep([word], [len(ids)], ids)
 
     def forget(self) -> None:
-        """Give the memory of words and states back, for the worker's next task may be another's."""
-        self.words.forget()
-        self.known, self.inner = Memo(self._first), Memo(self._rest)
+        """Give the memory of words and borders back, for the worker's next task may be another's."""
+        self.known.forget()
+        self.paths.forget()
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), and how many each has."""
+        texts = pc.fill_null(texts, "")
+        units = pc.replace_substring(pc.replace_substring(texts, BLANK, " "), " ", " " + BLANK)
+        units = pc.binary_join_element_wise(BLANK, units, "")
+        units = pc.replace_substring(units, BLANK + " ", BLANK)  # blanks one after the other stay together
+        units = pc.replace_substring(units, "\n", " \n ")
+        if self.letter_and_stop:
+            units = pc.replace_substring_regex(units, self.letter_and_stop, r"\1 \2")
+        units = pc.if_else(pc.equal(texts, ""), "", units)
+        return self.known.rows(pc.split_pattern(units, " "))
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids."""
-        if not text:
-            return b""
-        known = self.known
-        if text[0] != " " and "  " not in text and BLANK not in text:
-            return b"".join([known[w] for w in text.split(" ")])
-        words = self.blanks_and_word.findall(BLANK + text.replace(" ", BLANK))
-        return b"".join([known[w[1:]] if w[1:2] != BLANK else self._blanks(w) for w in words])
+        return self.batch(pa.array([text], pa.string()))[0].astype("<i4").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -145,8 +165,7 @@ def _encoded(batches, model: str, keep: list[str], text: str):
     coder = compiled(model)
     try:
         for batch in in_slices(batches, 2 << 20):
-            rows = [coder.encode(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            values, sizes = np.frombuffer(b"".join(rows), "<i4"), [len(r) >> 2 for r in rows]
+            values, sizes = coder.batch(batch.column(batch.schema.get_field_index(text)))
             kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, list_column(values, sizes)], [*keep, "ids"])
     finally:
@@ -172,21 +191,21 @@ def digests(encoded: DataFrame, model: str, with_ids: bool = False) -> DataFrame
     more = ["ids"] if with_ids else []
 
     def checked(batches):
-        import hashlib
-
         coder = decoder(model)
         for batch in in_slices(batches, 2 << 20):
             ids = batch.column(2)
-            values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-            rows = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            texts = [coder.decode(r) for r in rows]
+            ends = ids.offsets.to_numpy()[1:] - ids.offsets[0].as_py()
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()]
+            rows = coder.rows(ids.flatten().to_numpy(), ends)
+            same = [a == b for a, b in zip(rows, texts, strict=True)]
+            shown = [r if s else r.decode("utf-8", "replace").encode() for r, s in zip(rows, same, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(r) for r in rows], pa.int64()),
-                    pa.array([crc32_of(r.astype("<u4").tobytes()) for r in rows], pa.int64()),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
-                    pa.array([a == (b or "") for a, b in zip(texts, batch.column(1).to_pylist(), strict=True)]),
+                    pa.array(np.diff(ends, prepend=0), pa.int64()),
+                    pa.array(list_crc32(ids), pa.int64()),
+                    pa.array([hashlib.sha256(t).hexdigest() for t in shown]),
+                    pa.array(same),
                     *([ids] if with_ids else []),
                 ],
                 ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip", *more],

@@ -23,26 +23,67 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: Bytes whose words are hashed together.
+PIECE = 1 << 18
+
+
+def _pieces(data: bytes):
+    """Parts of about PIECE bytes that end behind a word; a longer word is in one part. `data` ends with a blank."""
+    at = 0
+    while at < len(data):
+        cut = data.rfind(b" ", at, at + PIECE)
+        cut = cut if cut >= 0 else data.find(b" ", at + PIECE)
+        yield at, np.frombuffer(data, np.uint8, cut + 1 - at, at)
+        at = cut + 1
+
+
+def _edges(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], codes != 32, [False])).view(np.int8)))
+    return edges[::2], edges[1::2]
+
+
+def _values(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What each byte adds to its word's sum; places repeat after a few thousand bytes, with another number for each round."""
+    value = _POWERS[place & (_PLACE - 1)]
+    value *= _BYTE[codes]
+    value += (place >> 12).astype(np.uint64)
+    return value
+
+
+def _joined(texts: list[str | None]) -> tuple[bytes, np.ndarray]:
+    raws = [(t or "").encode() + b" " for t in texts]
+    return b"".join(raws).translate(WORD_BYTES), np.concatenate(([0], np.cumsum([len(r) for r in raws])))
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word of all texts, and where each text's words start (one more at the end)."""
-    raws = [(t or "").encode() + b" " for t in texts]
-    codes = np.frombuffer(b"".join(raws).translate(WORD_BYTES), np.uint8)
-    text_starts = np.concatenate(([0], np.cumsum([len(r) for r in raws])))
-    inside = codes != 32
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(codes)])))) if starts[0] == 0 else None
-    if place is None:
-        first = np.zeros(len(codes), np.int64)
-        first[starts] = np.diff(np.concatenate(([0], starts)))
-        place = np.arange(len(codes)) - np.cumsum(first)
-    # places repeat after a few thousand bytes, with another factor for each round
-    value = _BYTE[codes] * _POWERS[place & (_PLACE - 1)] + (place >> 12).astype(np.uint64)
-    value[~inside] = 0
-    hashes = mixed(np.add.reduceat(value, starts) + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, text_starts)
+    data, text_starts = _joined(texts)
+    hashes, begins = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at, codes in _pieces(data):
+        starts, ends = _edges(codes)
+        if not len(starts):
+            continue
+        if len(codes) > PIECE:  # one long word, summed part by part
+            word = codes[starts[0] : ends[0]]
+            parts = (_values(word[i : i + PIECE], np.arange(i, min(i + PIECE, len(word)))).sum(dtype=np.uint64) for i in range(0, len(word), PIECE))
+            sums = np.array([sum(int(p) for p in parts) & 0xFFFFFFFFFFFFFFFF], np.uint64)
+        else:
+            body = codes[starts[0] :]
+            place = np.arange(len(body)) - np.repeat(starts - starts[0], np.diff(np.append(starts, len(codes))))
+            value = _values(body, place)
+            value[body == 32] = 0
+            sums = np.add.reduceat(value, starts - starts[0])
+        hashes.append(mixed(sums + (ends - starts).astype(np.uint64)))
+        begins.append(starts + at)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), text_starts)
+
+
+def word_counts(texts: list[str | None]) -> np.ndarray:
+    """How many words each text has."""
+    data, text_starts = _joined(texts)
+    begins = [np.zeros(0, np.int64), *(_edges(codes)[0] + at for at, codes in _pieces(data))]
+    return np.diff(np.searchsorted(np.concatenate(begins), text_starts))
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:

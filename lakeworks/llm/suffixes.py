@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.shingles import run_hashes, word_hashes
+from lakeworks.llm.shingles import run_hashes, word_counts, word_hashes
 from lakeworks.llm.texts import clean, cut_words, in_slices, joined
 from lakeworks.runtime import materialise
 
@@ -55,7 +55,7 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
 
 def _sampled(batches, how: Suffixes):
     """Kept suffixes: hash of their first words, document, place."""
-    for batch in in_slices(batches, 1 << 20):
+    for batch in in_slices(batches, 1 << 19):
         words, starts = word_hashes(batch.column(2).to_pylist())
         hashes, rows, places = [], [], []
         for row, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
@@ -217,7 +217,7 @@ def _open(words: np.ndarray, places: np.ndarray, spans, how: Suffixes) -> np.nda
 
 def _spans_and_windows(batches, how: Suffixes):
     """Spans of each document's runs (their first and end), and its open windows by hash (no end)."""
-    for batch in in_slices(batches):
+    for batch in in_slices(batches, 1 << 19):
         uids, docs, texts, runs, open_places = (batch.column(i) for i in range(5))
         words, starts = word_hashes(texts.to_pylist())
         hashes, rows, places, ends = [], [], [], []
@@ -290,20 +290,19 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
 
     def cut(batches):
         for batch in in_slices(batches):
-            texts, counts, cuts, spans = batch.column(at).to_pylist(), [], [], []
-            _, starts = word_hashes(texts)
+            texts, cuts, spans = batch.column(at).to_pylist(), [], []
+            words = word_counts(texts)
             for row, found in enumerate(batch.column(len(kept)).to_pylist()):
                 gone = joined((s["first"], s["end"]) for s in found or [])
                 if gone:
                     texts[row] = cut_words(texts[row], gone)
-                counts.append(starts[row + 1] - starts[row])
                 cuts.append(sum(b - a for a, b in gone))
                 spans.append([{"first": a, "end": b} for a, b in gone])
             columns = batch.columns[: len(kept)]
             columns[at] = pa.array(texts, columns[at].type)
             span = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(counts, pa.int64()), pa.array(cuts, pa.int64()), pa.array(spans, span)],
+                [*columns, pa.array(words, pa.int64()), pa.array(cuts, pa.int64()), pa.array(spans, span)],
                 [*(f"c{i}" for i in range(len(kept))), *made],
             )
 

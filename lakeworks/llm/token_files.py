@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeworks.llm.known import Known
 from lakeworks.llm.texts import clean, in_slices, list_column
 
 #: Layouts of the id column. Dictionary pages bit-pack ids by how many differ in a row group; delta pages
@@ -50,35 +51,18 @@ class Encoder:
     """
 
     def __init__(self, path: str, most: int = 1_000_000):
-        self.tokenizer, self.most = tokenizer_at(path), most
+        self.tokenizer = tokenizer_at(path)
         mark = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
         ids = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(ids.values()) + 1, bool)
         self.ends_word[[i for token, i in ids.items() if token.endswith(mark)]] = True
-        self.forget()
-
-    def forget(self) -> None:
-        """Back to knowing the empty word only."""
-        self.slots: dict[str, int] = {"": 0}
-        self.ids = np.zeros(1 << 16, np.uint16 if len(self.ends_word) <= 1 << 16 else np.uint32)
-        self.ends, self.used = np.zeros(1 << 14, np.int64), 0  # where each slot's ids end
-
-    def _keep(self, words: list[str], sizes, ids) -> None:
-        first, need = len(self.slots), self.used + len(ids)
-        if need > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(need, len(self.ids)), self.ids.dtype)))
-        if first + len(words) > len(self.ends):
-            self.ends = np.concatenate((self.ends, np.zeros(max(len(words), len(self.ends)), np.int64)))
-        self.ids[self.used : need] = ids
-        self.ends[first : first + len(words)] = self.used + np.cumsum(sizes)
-        self.used = need
-        self.slots.update(zip(words, range(first, first + len(words)), strict=True))
+        self.known = Known(self._teach, np.uint16 if len(self.ends_word) <= 1 << 16 else np.uint32, most)
 
     def _each(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 1000):
             some = runs[at : at + 1000]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            self._keep(some, [len(f) for f in found], [i for f in found for i in f])
+            self.known.keep(some, [len(f) for f in found], [i for f in found for i in f])
 
     def _words(self, words: list[str]) -> None:
         for at in range(0, len(words), 500):
@@ -86,41 +70,20 @@ class Encoder:
             ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(some):
-                self._keep(some, np.diff(ends, prepend=0), ids)
+                self.known.keep(some, np.diff(ends, prepend=0), ids)
             else:  # a letter that the file's rules do not take for one
                 self._each(some)
 
-    def learn(self, words: list[str]) -> None:
-        """Encode what is not known yet; forget all else when there is too much of it."""
-        new = [w for w in words if w not in self.slots]
-        if len(self.slots) + len(new) > self.most:
-            self.forget()
-            new = [w for w in words if w not in self.slots]
-        self._words([w for w in new if w.isalpha()])
-        self._each([w for w in new if not w.isalpha()])
+    def _teach(self, words: list[str]) -> None:
+        self._words([w for w in words if w.isalpha()])
+        self._each([w for w in words if not w.isalpha()])
 
     def batch(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty), each text's with `end` behind them, and how many each has."""
         texts = pc.fill_null(texts, "")
         texts = pc.if_else(pc.match_substring_regex(texts, _AS_IS), texts, pc.ascii_lower(texts))
         texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _LETTER_AND_STOP, r"\1 \2")
-        rows = pc.split_pattern(texts, " ")
-        coded = rows.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        self.learn(words)
-        slot = np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
-        ends = np.insert(self.ends[slot], 0, 0)
-        sizes = np.insert(ends[1:] - np.where(slot > 0, self.ends[slot - 1], 0), 0, 1)  # 0 is the end of a text
-        borders = rows.offsets.to_numpy() - rows.offsets[0].as_py()
-        run = np.insert(coded.indices.to_numpy().astype(np.int64) + 1, borders[1:], 0)
-        size = sizes[run]
-        through = np.cumsum(size)
-        at = np.repeat(ends[run] - through, size)
-        at += np.arange(len(at))  # a run's last id is the one before its end
-        out = self.ids[at].astype(np.int32)
-        stops = through[borders[1:] + np.arange(len(texts))] - 1
-        out[stops] = end
-        return out, np.diff(stops, prepend=-1)
+        return self.known.rows(pc.split_pattern(texts, " "), end)
 
     def __call__(self, texts: list[str | None], end: int) -> list[bytes]:
         ids, sizes = self.batch(pa.array(texts, pa.string()), end)
