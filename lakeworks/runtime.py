@@ -57,13 +57,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lakeworks/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options) -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage and survives lost executors.
 
-    For a frame that several later branches read and that is dear to compute again.
+    For a frame that several later branches read and that is dear to compute again. `options` are the writer's.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
