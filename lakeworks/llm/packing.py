@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.texts import clean, in_slices, list_column
-from lakeworks.llm.token_files import encoder
+from lakeworks.llm.token_files import encoder, list_crc32
 from lakeworks.runtime import materialise
 
 #: Offsets of so many (partition, queue) pairs, of 20 bytes each, are broadcast; more are joined by a shuffle.
@@ -170,10 +170,16 @@ def pieces(track: Track, begins: np.ndarray, sizes: np.ndarray):
     return row, start - own, np.minimum(b, own + sizes[row]) - start, window, offset + start - a
 
 
+def _packed_ids(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Rows of ids as bytes, two or four for each id."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))) * ids.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids)])
+
+
 def _tokens(batches, path: str, end: int):
     """Ids of every row with `end` behind them, and how many tokens of its queue the partition has before it."""
     encode, before = encoder(path), {}
-    for batch in in_slices(batches, 4 << 20):
+    for batch in in_slices(batches, 2 << 20):
         ids, sizes = encode.batch(batch.column(2), end)
         queues, places = batch.column(1).to_numpy(), np.zeros(batch.num_rows, np.int64)
         for q in np.unique(queues).tolist():
@@ -182,13 +188,13 @@ def _tokens(batches, path: str, end: int):
             places[own] = through - sizes[own]
             before[q] = int(through[-1])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(places), pa.array(sizes), list_column(ids, sizes)],
+            [batch.column(0), batch.column(1), pa.array(places), pa.array(sizes), _packed_ids(ids.astype(encode.known.dtype), sizes)],
             ["doc_id", "queue", "place", "n_tokens", "ids"],
         )
 
 
-def _packed(batches, tracks: list[Track]):
-    for batch in in_slices(batches, 4 << 20):
+def _packed(batches, tracks: list[Track], with_ids: bool):
+    for batch in in_slices(batches, 2 << 20):
         queues, places, sizes, offsets, ids = (batch.column(i) for i in range(1, 6))
         queues, sizes = queues.to_numpy(), sizes.to_numpy()
         begins, found = places.to_numpy() + offsets.to_numpy(), []
@@ -200,12 +206,16 @@ def _packed(batches, tracks: list[Track]):
         order = np.lexsort((start, row))
         row, start, length, window, offset = (x[order] for x in (row, start, length, window, offset))
         # pieces in the order of rows and tokens: together they are the rows' ids as they stand
+        at = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+        width = int(at[-1] - at[0]) // int(sizes.sum())
+        numbers = np.frombuffer(ids.buffers()[2], f"<u{width}", int(sizes.sum()), int(at[0])).astype(np.int32)
+        rows = list_column(numbers, length)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(sizes[row]),
-                pa.array(queues[row]), pa.array(window), pa.array(offset), list_column(ids.flatten().to_numpy(), length),
+                pa.array(queues[row]), pa.array(window), pa.array(offset), rows if with_ids else pa.array(list_crc32(rows), pa.int64()),
             ],
-            ["doc_id", "start", "length", "doc_tokens", "queue", "sequence_id", "offset", "ids"],
+            ["doc_id", "start", "length", "doc_tokens", "queue", "sequence_id", "offset", "ids" if with_ids else "ids_crc32"],
         )
 
 
@@ -218,9 +228,11 @@ def pack(
     key: str = "doc_id",
     source: str = "source",
     end: int = 1,
+    with_ids: bool = True,
 ) -> DataFrame:
     """Pieces of all documents in sequences: doc_id, start (the document's ids before the piece), length, doc_tokens, queue,
-    sequence_id, offset and ids. Every id, `end` behind each document's own among them, lies in exactly one piece.
+    sequence_id, offset and ids, or their checksum instead (`ids_crc32`, of little-endian 32-bit numbers). Every id, `end`
+    behind each document's own among them, lies in exactly one piece.
 
     `target` names the wanted shares of sources; all sources that it does not name share one queue, which gets what the shares
     leave of 1 (nothing at all: it comes after the others). Without it a source's share is what it has. Sources beyond
@@ -241,9 +253,11 @@ def pack(
     queued = rows.select("doc_id", F.coalesce(queue, F.lit(0)).cast("int").alias("queue"), "text")
     kind = queued.schema["doc_id"].dataType.simpleString()
     made = queued.mapInArrow(
-        lambda b: _tokens(b, tokenizer, end), f"doc_id {kind}, queue int, place long, n_tokens long, ids array<int>"
+        lambda b: _tokens(b, tokenizer, end), f"doc_id {kind}, queue int, place long, n_tokens long, ids binary"
     )
-    tokens = materialise(made.withColumn("part", F.spark_partition_id()), "packing")
+    # small row groups: the writer holds one for each task
+    sparse = {"parquet.block.size": str(8 << 20), "compression": "zstd"}
+    tokens = materialise(made.withColumn("part", F.spark_partition_id()), "packing", **sparse)
     sums = materialise(tokens.groupBy("queue", "part").agg(F.sum("n_tokens").alias("n")), "packing-sums")
     totals, pairs = [0] * (len(names) + 1), 0
     for r in sums.groupBy("queue").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).collect():  # a row a queue
@@ -253,8 +267,9 @@ def pack(
     offsets = sums.select("queue", "part", running.alias("offset"))
     placed = tokens.join(F.broadcast(offsets) if pairs <= SMALL else offsets, ["queue", "part"])
     return placed.select("doc_id", "queue", "place", "n_tokens", "offset", "ids").mapInArrow(
-        lambda b: _packed(b, tracks),
-        f"doc_id {kind}, start long, length long, doc_tokens long, queue int, sequence_id long, offset long, ids array<int>",
+        lambda b: _packed(b, tracks, with_ids),
+        f"doc_id {kind}, start long, length long, doc_tokens long, queue int, sequence_id long, offset long, "
+        + ("ids array<int>" if with_ids else "ids_crc32 long"),
     )
 
 

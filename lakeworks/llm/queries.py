@@ -151,5 +151,4 @@ ORACLES["op12_fill_in_middle"] = oracles.FILL_IN_MIDDLE
 @query
 def op13_packing(spark, sf_dir):
     """All documents cut into sequences of 2048 tokens, each with the sources in their shares."""
-    found = packing.pack(table(spark, sf_dir, "documents"), place("word_bpe_49k.json"))
-    return token_files.with_crc32(found)
+    return packing.pack(table(spark, sf_dir, "documents"), place("word_bpe_49k.json"), with_ids=False)
