@@ -25,11 +25,10 @@ FEATURES = 20
 @dataclass(frozen=True)
 class Fit:
     """How the model is fitted. At most `most_documents` labelled documents (one text of each key, by least
-    key hash, then further texts of the same keys) and `most_passages` evenly spaced passages of each are
-    used, and equal texts of a key once; scoring knows no such bounds."""
+    key hash, then further texts of the same keys) are used, with all their passages, and equal texts of a key
+    once; scoring knows no such bound."""
 
     most_documents: int = 6000
-    most_passages: int = 32
     width: int = 16
     attention: int = 8
     rounds: int = 400
@@ -172,10 +171,7 @@ def fit_model(df: DataFrame, labels: DataFrame, label: str, text: str, key: str,
                 continue
             batch = batch.take(pa.array(new))
             found, firsts = passages(batch.column(1).to_pylist())
-            bags = []
-            for a, b in zip(firsts[:-1], firsts[1:], strict=True):
-                some = np.unique(np.linspace(a, b - 1, min(b - a, fit.most_passages)).astype(int))
-                bags.append(found[some].ravel().tolist())
+            bags = [found[a:b].ravel().tolist() for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in (0, 2, 3)), pa.array(bags, pa.list_(pa.float64()))], ["label", "doc_id", "digest", "bag"]
             )

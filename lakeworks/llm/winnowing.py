@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing, in built-in functions.
 
-A text is cut into units at white space; characters of scripts without spaces and those of units longer than
-`LONG` are units of their own. Every run of `K` units has a hash; of every `W` neighbouring
+A text is cut into units at white space and after `LONG` characters, beyond which each character up to the next white
+space is a unit; so are characters of scripts without spaces. Every run of `K` units has a hash; of every `W` neighbouring
 hashes the least is kept, the rightmost of equal ones, with its position. Two texts that share a run of
 K + W - 1 units share a fingerprint, wherever it stands. A hash and its position are one number that
 compares as wanted, so a window's choice is a plain minimum, found by doubling: the minima of 2n
@@ -19,7 +19,7 @@ K, W = 4, 8
 #: Units of a text that are numbered together; longer texts have several overlapping parts.
 PART = 1 << 20
 PLACES = 1 << 21
-#: Characters of a unit that is taken whole; in longer ones each character is a unit.
+#: Most characters of a unit; those that follow without white space are units of one.
 LONG = 48
 #: Thai to Khmer, kana to Han, Hangul and Han beyond the basic plane: no white space between words.
 UNSPACED = r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{AC00}-\x{D7AF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
@@ -30,6 +30,12 @@ def bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _within(unit: Column) -> Column:
+    """The units of what stands between white space."""
+    rest = F.split(F.substring(unit, F.lit(LONG + 1), F.length(unit)), "")
+    return F.when(F.length(unit) > LONG, F.concat(F.array(F.substring(unit, 1, LONG)), rest)).otherwise(F.array(unit))
+
+
 def _units(text: Column) -> Column:
     wide = rf"\s|(?<={UNSPACED})(?!\s|\z)|(?<!\s)(?={UNSPACED})"
     mixed = (F.octet_length(text) > F.length(text)) & text.rlike(UNSPACED)
@@ -37,7 +43,7 @@ def _units(text: Column) -> Column:
         F.when(mixed, F.split(text, wide)).otherwise(F.split(text, r"\s")),
         lambda units: F.when(
             F.exists(units, lambda u: F.length(u) > LONG),
-            F.flatten(F.transform(units, lambda u: F.when(F.length(u) > LONG, F.split(u, "")).otherwise(F.array(u)))),
+            F.flatten(F.transform(units, lambda u: _within(u))),
         ).otherwise(units),
     )
 

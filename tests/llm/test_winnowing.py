@@ -12,7 +12,7 @@ from lakeworks.llm.queries import QUERIES
 
 
 def brute(text, k=4, w=8):
-    units = re.split(r"\s", text or "")
+    units = [u for part in re.split(r"\s", text or "") for u in (part[:48], *part[48:])]
     hashes = []
     for i in range(max(1, len(units) - k + 1)):
         h = 42
@@ -56,6 +56,16 @@ def test_query(spark, sf_dir):
     checked(docs, QUERIES["op10_winnowing"](spark, sf_dir))
 
 
+def test_one_rule_for_units_of_any_length(make):
+    """Words of 40 to 60 characters differ by one character's unit, not by the rule; long ones match after an insertion."""
+    rng = random.Random(11)
+    line = "".join(rng.choices("abcdefgh", k=600))
+    docs = [(i, " ".join("".join(rng.choices("xyz", k=n)) for n in range(40, 60))) for i in range(5)] + [(9, line), (8, "Q" + line), (7, line[:50])]
+    found = winnowing.compare_with_next(make(docs))
+    checked(docs, found)
+    assert {r.doc_id: r.near_next for r in found.collect()}[9] > 0.8
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 30])
 def test_few_rows(make, count):
     docs = [(7 * i - 3, "".join(chr(97 + (i * j * j) % 5) + (" " if j % 3 else "😀") for j in range(i * 9))) for i in range(count)]
