@@ -11,6 +11,7 @@ from lakeworks.queries.registry import query
 from lakeworks.runtime import fresh_path, total
 from lakeworks.schemas import LEGACY, PAGE, schema
 from lakeworks.sources import files, partners
+from lakeworks.sources.quoted_csv import read_quoted_csv
 
 BY_STATUS = f"SELECT status, COUNT(*) AS orders, {REVENUE} AS revenue FROM o GROUP BY 1"
 
@@ -157,6 +158,26 @@ def _(spark, d):
     )
 
 
+@query(
+    "s08_quoted_breaks_in_ranges",
+    """SELECT status, COUNT(*) AS orders, CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+       COUNT(*) FILTER (order_id % 3 = 0) AS with_break, SUM(CASE WHEN order_id % 3 = 0 THEN 33 ELSE 17 END)::BIGINT AS letters,
+       MIN(order_id) AS first_order, MAX(order_id) AS last_order FROM o GROUP BY 1""",
+)
+def _(spark, d):
+    """One large ISO-8859-1 file, a third of whose rows have quotes and line breaks inside a value, in ranges."""
+    path = fresh_path(spark, "csv")
+    note = F.when(F.col("order_id") % 3 == 0, 'S\u00e3o Paulo,\n"centro"\n\npara entrega').otherwise("entrega em S\u00e3o P.")
+    rows = simple(spark, d).select("order_id", "status", "total_amount", note.alias("note"))
+    options = {"encoding": "ISO-8859-1", "escape": '"'}
+    rows.coalesce(1).write.options(header=True, quoteAll=True, **options).csv(path)
+    target = schema(order_id="long", status="string", total_amount="double", note="string")
+    return read_quoted_csv(spark, path, target, mode="FAILFAST", **options).groupBy("status").agg(
+        F.count("*").alias("orders"), total("total_amount").alias("revenue"), F.count_if(F.col("note").contains("\n")).alias("with_break"),
+        F.sum(F.length("note")).alias("letters"), F.min("order_id").alias("first_order"), F.max("order_id").alias("last_order"),
+    )
+
+
 @query("s09_json_options", "SELECT order_id, status, strftime(order_date, '%Y-%m-%d') AS order_date FROM o")
 def _(spark, d):
     """Names without quotes, values in single quotes, dates day first."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakeworks.runtime import materialise
 from lakeworks.sinks.files import children
 from lakeworks.sinks.tables import read_text_keys
+from lakeworks.sources.quoted_csv import fits, read_quoted_csv
 
 CORRUPT = "_corrupt_record"
 
@@ -52,13 +53,17 @@ def read_with_corrupt(
 
     A reader parses only the columns a query uses, and a row would be corrupt in one query and valid in
     the next. So JSON lines are read as text and parsed in the plan, and CSV rows, which may hold quoted
-    line breaks and any encoding, are parsed once with all columns and written to the shared folder.
-    A CSV file is one task unless `multiLine=False` promises that no value holds a line break.
+    line breaks, are parsed once with all columns and written to the shared folder. Files are read in ranges
+    (`quoted_csv`); only encodings of several bytes and other options that it refuses make a file one task.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
     if form == "csv":
-        rows = materialise(read_csv(spark, path, wide, **{"multiLine": True, **options}), "parsed-csv")
+        if fits(options) and options.get("multiLine", True):
+            parsed = read_quoted_csv(spark, path, wide, **options)
+        else:
+            parsed = read_csv(spark, path, wide, **{"multiLine": True, **options})
+        rows = materialise(parsed, "parsed-csv")
         bad = F.col(CORRUPT).isNotNull()
         return rows.where(~bad).drop(CORRUPT), rows.where(bad)
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
