@@ -136,10 +136,14 @@ def revenue_by(df: DataFrame, keys: Sequence[str], amount: str = "total_amount")
     return df.groupBy(*keys).agg(F.count("*").alias("orders"), total(amount).alias("revenue"))
 
 
-def for_each_value(df: DataFrame, values: DataFrame) -> DataFrame:
-    """Each row of a frame once per value of a one-column value list.
+def for_each_value(df: DataFrame, values: DataFrame, most: int = 10_000) -> DataFrame:
+    """Each row of a frame once per different value of a one-column value list, null being one.
 
-    The list becomes an array that every task gets, as a broadcast would be, so there is no join.
+    The list becomes an array that every task gets, as a broadcast would be, so there is no join. A list of more than
+    `most` values is refused.
     """
-    name = values.columns[0]
-    return df.withColumn(name, F.explode(values.distinct().agg(F.array_agg(name)).scalar()))
+    name, once = values.columns[0], values.distinct()
+    if once.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} values for each row")
+    boxes = F.explode(once.agg(F.array_agg(F.struct(F.col(name).alias("value")))).scalar())
+    return df.withColumn(name, boxes).withColumn(name, F.col(f"`{name}`.value"))

@@ -7,9 +7,10 @@ neighbouring rows) comes from a summary with one row per slice. All other keys k
 slice, so the whole frame is still shuffled once, by (key, slice).
 
 Sizes: there is at most one hot key for every `hot_rows` rows, and the number of slices of each is
-bounded by `parts`. Both are measured first (one count per key, combined before the shuffle) and
-kept as a small written table, so every branch of the plan, and every retry, sees the same cuts.
-Where no key is hot the plain window or join is used.
+bounded by `parts`. Hot keys come from a sketch of frequent keys (`frequent`): one pass that shuffles
+sketches only, or none where the cut brings the table's profile along. They are kept as a small written
+table, so every branch of the plan, and every retry, sees the same cuts. Where no key is hot the
+plain window or join is used.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeworks.operators.frequent import MOST_ITEMS, Profile, key_hash, profile
 from lakeworks.runtime import materialise
 
 SAMPLE_PER_POINT = 1000  # rows looked at per cut point
@@ -33,10 +35,18 @@ TIE_FACTOR = 8  # ranges of the second order column per repeated cut of the firs
 class Cut:
     """When a key is hot: it holds more than `hot_rows` rows, which is what one task sorts with ease.
     Its rows are cut to about 1/parts of all rows or `hot_rows` each, whichever is less. With
-    `hot_rows` 0 it is hot above 1/parts of all rows."""
+    `hot_rows` 0 it is hot above 1/parts of all rows. `known` is the table's profile, if there is one: then
+    the keys it was made for cost no pass. A sketch may miss a key of up to half a part's share of the rows, which
+    is no more than any task has; results never depend on which keys are hot."""
 
     parts: int
     hot_rows: int = 4_000_000
+    known: Profile | None = None
+
+    @property
+    def items(self) -> int:
+        """Items of a sketch that misses no key with half a part's share of the rows."""
+        return min(MOST_ITEMS, 12 * self.parts)
 
     @staticmethod
     def default(df: DataFrame) -> Cut:
@@ -78,23 +88,31 @@ def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
     )
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], cut: Cut) -> DataFrame | None:
-    """Hot keys and the `_share` of parts each would fill, as a written table; None if none is.
-
-    Counts are combined before the shuffle, and only those above `hot_rows` are written: at most one
-    for every `hot_rows` rows of the frame.
+def hot_hashes(df: DataFrame, keys: Sequence[str], cut: Cut) -> DataFrame | None:
+    """Hash of each hot key (`_hash`), its `_rows`, never too few, and the `_share` of parts it would fill, as a written
+    table; None if no key is hot. A key that shares a hot one's hash is taken for hot too, which does no harm.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cut.hot_rows)
-    counts = materialise(counts, "big-keys")
-    if counts.isEmpty():
+    found = cut.known.of(keys) if cut.known else None
+    if found is None:
+        found = profile(df, [keys], cut.items).of(keys)
+    least = F.lit(cut.hot_rows) if cut.hot_rows else F.col("rows") / cut.parts
+    share = F.ceil(F.col("count") * cut.parts / F.col("rows"))
+    if cut.hot_rows:
+        share = F.greatest(share, F.ceil(F.col("count") / cut.hot_rows))
+    hot = found.where(F.col("count") > least).select(
+        F.col("key").alias("_hash"), F.col("count").alias("_rows"), F.least(share, F.lit(2**31 - 1)).cast("int").alias("_share")
+    )
+    return None if hot.isEmpty() else hot
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], cut: Cut) -> DataFrame | None:
+    """The hot keys themselves with their exact `_rows` and their `_share`, as a written table; None if none is.
+    Only rows of hot keys are counted."""
+    hot = hot_hashes(df, keys, cut)
+    if hot is None:
         return None
-    everything = df.count()
-    share = F.ceil(F.col("_rows") * cut.parts / everything)
-    if not cut.hot_rows:
-        hot = counts.where(F.col("_rows") * cut.parts > everything).withColumn("_share", share.cast("int"))
-        return None if hot.isEmpty() else hot
-    share = F.greatest(share, F.ceil(F.col("_rows") / cut.hot_rows))
-    return counts.withColumn("_share", F.least(share, F.lit(2**31 - 1)).cast("int"))
+    heavy = df.select(*keys, key_hash(keys).alias("_hash")).join(F.broadcast(hot.drop("_rows")), "_hash")
+    return materialise(heavy.groupBy(*keys).agg(F.count("*").alias("_rows"), F.max("_share").alias("_share")), "hot-keys")
 
 
 # ------------------------------------------------------------------ cutting hot keys
@@ -134,12 +152,11 @@ def _cuts(df: DataFrame, keys: Sequence[str], cut: Cut, points: int) -> DataFram
     The points are approximate quantiles: they only balance the slices, no result depends on them.
     """
     if keys:
-        hot = hot_keys(df, keys, cut)
+        hot = hot_hashes(df, keys, cut)
         if hot is None:
             return None
         size = hot.agg(F.sum("_rows")).first()[0]
-        heavy = df.alias("n").join(F.broadcast(hot).alias("h"), same_keys("n", "h", keys))
-        heavy = heavy.select("n.*", "h._share")
+        heavy = df.withColumn("_hash", key_hash(keys)).join(F.broadcast(hot.drop("_rows")), "_hash").drop("_hash")
     else:
         size = df.count()
         if not size:
@@ -392,25 +409,41 @@ def skew_join(
         right = right.withColumns(boxed).drop(*keys)
         return skew_join(left.withColumns(boxed), right, list(boxed), how, cut).drop(*boxed)
     cut = cut or Cut.default(left)
-    hot = hot_keys(left.select(*keys).dropna(), keys, cut)
-    if hot is None:
-        return left.join(right, list(keys), how)
-    hot = F.broadcast(hot.drop("_rows"))
     row = F.xxhash64(*left.columns, F.spark_partition_id())
-    # null keys never match; spread over salts they do not pile up in a left join
+    # null keys never match; spread over salts they do not pile up in one task
     some_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salt = (
-        F.when(some_null, F.pmod(row, F.lit(cut.parts)) + 1)
-        .when(F.col("_share").isNotNull(), F.pmod(row, F.col("_share")) + 1)
-        .otherwise(0)
-    )
-    big = left.join(hot, list(keys), "left").withColumn("_salt", salt.cast("int")).drop("_share")
+    spread = F.when(some_null, F.pmod(row, F.lit(cut.parts)) + 1)
+    keyed = left.select(*keys) if cut.known else left.select(*keys).dropna()
+    if not _hash_alike(left, right, keys):
+        hot, on = hot_keys(keyed.dropna(), keys, cut), list(keys)
+    else:
+        hot, on = hot_hashes(keyed, keys, cut), ["_hash"]
+    if hot is None:
+        if how in ("inner", "left_semi") or not any(left.schema[k].nullable for k in keys):
+            return left.join(right, list(keys), how)
+        big = left.withColumn("_salt", spread.otherwise(0).cast("int"))
+        # always 0, but not seen to be: a literal would be taken out of the join's keys
+        none = right.withColumn("_salt", F.pmod(key_hash(keys), F.lit(1)).cast("int"))
+        return big.join(none, [*keys, "_salt"], how).drop("_salt")
+    hot = F.broadcast(hot.drop("_rows"))
+    salt = spread.when(F.col("_share").isNotNull(), F.pmod(row, F.col("_share")) + 1).otherwise(0)
+    if on == ["_hash"]:
+        left, right = (side.withColumn("_hash", key_hash(keys)) for side in (left, right))
+    big = left.join(hot, on, "left").withColumn("_salt", salt.cast("int")).drop("_share")
     copies = F.when(F.col("_share").isNotNull(), F.sequence(F.lit(1), F.col("_share")))
-    small = right.join(hot, list(keys), "left")
+    small = right.join(hot, on, "left")
     small = small.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0))))).drop("_share")
+    if on == ["_hash"]:
+        big, small = big.drop("_hash"), small.drop("_hash")
     return big.join(small, [*keys, "_salt"], how).drop("_salt")
 
 
+def _hash_alike(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether equal keys of both sides have equal hashes: they are of the same type, and compared byte by byte."""
+    kinds = [(left.schema[k].dataType.simpleString(), right.schema[k].dataType.simpleString()) for k in keys]
+    return all(a == b and "collate" not in a for a, b in kinds)
+
+
 def with_group_totals(
     df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], cut: Cut | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators.joins import flag_known
-from lakeworks.operators.skew import By, Cut, hot_keys, ranked
+from lakeworks.operators.skew import By, Cut, hot_hashes, ranked
 from lakeworks.quality.checks import holds
 from lakeworks.runtime import materialise
 
@@ -27,11 +27,15 @@ def repeated(
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
-    if hot_keys(df.select(*keys).dropna(), keys, cut or Cut.default(df)) is None:
-        w = Window.partitionBy(*keys).orderBy(order, F.xxhash64(*df.columns))
-        return df.withColumn(flag, keyed & (F.row_number().over(w) > 1))
-    numbered = materialise(df.withColumn("_number", F.monotonically_increasing_id()), "numbered")
-    out = ranked(numbered, keys, [By(order), By("_number")], cut)
+    cut = cut or Cut.default(df)
+    # rows without a key are spread: they are not compared
+    spread = F.when(keyed, 0).otherwise(F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(cut.parts)) + 1)
+    if hot_hashes(df.select(*keys).dropna(), keys, cut) is None:
+        w = Window.partitionBy(*keys, "_spread").orderBy(order, F.xxhash64(*df.columns))
+        marked = df.withColumn("_spread", spread).withColumn(flag, keyed & (F.row_number().over(w) > 1))
+        return marked.drop("_spread")
+    numbered = materialise(df.withColumns({"_number": F.monotonically_increasing_id(), "_spread": spread}), "numbered")
+    out = ranked(numbered, [*keys, "_spread"], [By(order), By("_number")], cut)
     return out.withColumn(flag, keyed & (F.col("row_number") > 1)).select(*df.columns, flag)
 
 
