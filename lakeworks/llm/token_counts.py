@@ -4,7 +4,8 @@ The merges of a word-level BPE file are compiled to a deterministic transducer w
 the number of tokens they add. White space resets it, so a chunk of text cut anywhere is a map of states:
 what comes before its first white space depends on the state it is entered with, the middle is a number,
 and what follows its last white space sets the state it is left in. Such maps compose associatively;
-a prefix scan over a text's chunks gives the count of the whole.
+a prefix scan over a text's chunks gives the count of the whole. Texts of one chunk are counted a batch at a time: each
+part between blanks once, all parts not met before together (`paths`).
 """
 
 from __future__ import annotations
@@ -14,13 +15,18 @@ import unicodedata
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from lakeworks.llm.merges import END, Automaton, Merges
+from lakeworks.llm.known import Known
+from lakeworks.llm.merges import END, Merges
+from lakeworks.llm.paths import Paths
 from lakeworks.llm.texts import Memo, clean, in_slices
+from lakeworks.llm.token_files import cut_rows
 
 CHUNK = 1 << 16
 
@@ -65,41 +71,68 @@ class Counter:
 
         ranks = {(own(a), own(b)): i for i, (a, b) in enumerate(spec["model"]["merges"])}
         tokens = {own(t) for t in spec["model"]["vocab"]}
-        self.automaton = Automaton(Merges(tokens, lambda a, b: ranks.get((a, b)), 600_000), 500_000)
+        self.paths = Paths(tokens, Merges(tokens, lambda a, b: ranks.get((a, b))), end=True)
         self.symbols = {chr(b): symbol for b, symbol in enumerate(byte_symbols())}
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]))
         self.pieces = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\t-\r "))
         self.shapes = Shapes()
-        self.word_count = Memo(self._word, 200_000)
-        self.count_of = Memo(self._run, 200_000)
+        self.count_of = Memo(self._run, 100_000)
+        self.known = Known(self._teach)
 
-    def _word(self, word: str) -> int:
-        if not (word.isascii() and word.isprintable()):
-            word = "".join(map(self.symbols.__getitem__, word.encode().decode("latin-1")))
-        return self.automaton.run(word, END)[-1].count
+    def _symbols(self, word: str) -> str:
+        """A word as the file's symbols, one for each byte."""
+        if word.isascii() and word.isprintable():
+            return word
+        return "".join(map(self.symbols.__getitem__, word.encode().decode("latin-1")))
 
-    def _run(self, run: str) -> int:
-        """Tokens of a text between blanks: special strings count one and split it."""
+    def _words(self, run: str) -> tuple[int, list[str]]:
+        """Special strings in a text between blanks, which count one and split it, and its words by the file's pattern."""
         if run.isascii() and "<|" not in run:
-            return sum([self.word_count[w] for w in self.pieces.findall(run.lower())])
-        total, start = 0, 0
+            return 0, [run] if run.isalpha() and run.islower() else self.pieces.findall(run.lower())
+        special, out, start = 0, [], 0
         for found in [*self.special.finditer(run), None]:
             part = run[start : found.start() if found else len(run)]
             if part:
                 part = "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-                spans = self.pieces.finditer(part.translate(self.shapes))
-                total += sum(self.word_count[part[m.start() : m.end()]] for m in spans)
+                out += [part[m.start() : m.end()] for m in self.pieces.finditer(part.translate(self.shapes))]
             if found:
-                total, start = total + 1, found.end()
-        return total
+                special, start = special + 1, found.end()
+        return special, out
+
+    def _counts(self, runs: list[str]) -> list[int]:
+        """Tokens of texts between blanks."""
+        found = [self._words(r) for r in runs]
+        words = list({w for _, some in found for w in some})
+        if words:
+            _, counts, _ = self.paths.split(list(map(self._symbols, words)))
+            of = dict(zip(words, counts.tolist(), strict=True))
+        return [special + sum([of[w] for w in some]) for special, some in found]
+
+    def _run(self, run: str) -> int:
+        return self._counts([run])[0]
+
+    def _teach(self, runs: list[str]) -> None:
+        self.known.keep(runs, np.ones(len(runs), np.int64), self._counts(runs))
+
+    def batch(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text (null: empty)."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+        short = pc.if_else(pa.array(sizes <= CHUNK), texts, "")
+        counts, words = self.known.rows(cut_rows(short))
+        through = np.concatenate(([0], np.cumsum(counts)))
+        ends = np.cumsum(words)
+        out = through[ends] - through[ends - words]
+        for i in np.flatnonzero(sizes > CHUNK).tolist():
+            out[i] = self.count(texts[i].as_py())
+        return out
 
     def chunk(self, text: str) -> Chunk:
         """The state map of one piece of text."""
         runs = text.replace("\n", " ").split(" ")
         if len(runs) == 1:
             return Chunk(text, None, "")
-        count_of = self.count_of
-        return Chunk(runs[0], sum([count_of[r] for r in runs[1:-1] if r]), runs[-1])
+        counts, _ = self.known.rows(cut_rows(pa.array([" ".join(runs[1:-1])], pa.string())))
+        return Chunk(runs[0], int(counts.sum()), runs[-1])
 
     def compose(self, a: Chunk, b: Chunk) -> Chunk:
         """The map of two neighbouring pieces."""
@@ -153,15 +186,14 @@ def count_tokens(
 
     def counted(batches):
         counter = compiled(tokenizer)
-        for batch in in_slices(batches):
-            texts = batch.column(1).to_pylist()
-            counts = [counter.count(t) for t in texts]
+        for batch in in_slices(batches, 2 << 20):
+            counts = counter.batch(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()),
+                    pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64()),
                     pa.array(counts, pa.int64()),
-                    pa.array([c > limit for c in counts], pa.bool_()),
+                    pa.array(counts > limit, pa.bool_()),
                 ],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )

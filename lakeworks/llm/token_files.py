@@ -42,6 +42,14 @@ _AS_IS = r"\p{M}|<\|"
 _LETTER_AND_STOP = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}])([.,;:!?])"
 
 
+def cut_rows(texts: pa.Array) -> pa.ListArray:
+    """Each text (null: empty) as parts that the file's rules never look across, plain letters in lower case."""
+    texts = pc.fill_null(texts, "")
+    texts = pc.if_else(pc.match_substring_regex(texts, _AS_IS), texts, pc.ascii_lower(texts))
+    texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _LETTER_AND_STOP, r"\1 \2")
+    return pc.split_pattern(texts, " ")
+
+
 class Encoder:
     """Ids of texts by the library, each different word once.
 
@@ -80,10 +88,7 @@ class Encoder:
 
     def batch(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty), each text's with `end` behind them, and how many each has."""
-        texts = pc.fill_null(texts, "")
-        texts = pc.if_else(pc.match_substring_regex(texts, _AS_IS), texts, pc.ascii_lower(texts))
-        texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), _LETTER_AND_STOP, r"\1 \2")
-        return self.known.rows(pc.split_pattern(texts, " "), end)
+        return self.known.rows(cut_rows(texts), end)
 
     def __call__(self, texts: list[str | None], end: int) -> list[bytes]:
         ids, sizes = self.batch(pa.array(texts, pa.string()), end)
