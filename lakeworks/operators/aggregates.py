@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeworks.operators.positions import overall_percentiles
 from lakeworks.operators.skew import By, Cut, ranked, running, same_keys, with_group_totals
 from lakeworks.runtime import mean, money, total
 
@@ -117,18 +118,18 @@ def percentiles(
     """Exact percentiles, interpolated between neighbouring values, per key or over all rows.
 
     Equal values are counted first; the running count of the distinct values (skew-safe, so no
-    group is sorted in one task) tells which value sits at each position.
+    group is sorted in one task) tells which value sits at each position. Over all rows histograms that are
+    refined around the wanted positions do.
     """
     keys = list(keys)
+    if not keys:
+        return overall_percentiles(df, column, shares)
     values = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_x"))
     counts = values.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
     placed = running(counts, keys, [By("_x")], {"_upto": F.col("_n")}, cut)
-    if keys:
-        sizes = values.groupBy(*keys).agg(F.count("*").alias("_rows"))
-        sizes = sizes.alias("z")
-        placed = placed.alias("p").join(sizes, same_keys("p", "z", keys)).select("p.*", "z._rows")
-    else:
-        placed = placed.withColumn("_rows", values.agg(F.count("*")).scalar())
+    sizes = values.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    sizes = sizes.alias("z")
+    placed = placed.alias("p").join(sizes, same_keys("p", "z", keys)).select("p.*", "z._rows")
     first, end = F.col("_upto") - F.col("_n"), F.col("_upto")
     picks, finals = [], []
     for i, share in enumerate(shares):

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeworks.operators.frequent import MOST_ITEMS, Profile, key_hash, profile
+from lakeworks.operators.positions import ranked_overall
 from lakeworks.runtime import materialise
 
 SAMPLE_PER_POINT = 1000  # rows looked at per cut point
@@ -268,7 +269,9 @@ def ranked(
     df: DataFrame, keys: Sequence[str], by: Sequence[By], cut: Cut | None = None
 ) -> DataFrame:
     """Add `row_number` (over all order columns), `rank` and `dense_rank` (over the first order
-    column, ties share a rank) and `group_rows`, the number of rows of the key."""
+    column, ties share a rank) and `group_rows`, the number of rows of the key. Without keys: of all rows."""
+    if not keys:
+        return ranked_overall(df, by)
     s = Sliced(df, keys, by, cut)
     local = s.frame.withColumns(
         {
@@ -279,8 +282,6 @@ def ranked(
     )
     here = F.count("*").over(Window.partitionBy(*s.slice_keys))
     if not s.hot:
-        if not keys:
-            return local.withColumn("group_rows", df.agg(F.count("*")).scalar())
         return local.withColumn("group_rows", here)
     slices = s.summary(
         F.count("*").alias("_n"),
