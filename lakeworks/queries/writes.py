@@ -11,6 +11,8 @@ from lakeworks.queries.aggregates import REVENUE
 from lakeworks.queries.registry import query
 from lakeworks.runtime import fresh_path, total
 from lakeworks.sinks import tables
+from lakeworks.sinks.files import children
+from lakeworks.sinks.rewrite import compact_small, file_stats
 from lakeworks.sources.files import read_parquet
 
 
@@ -227,6 +229,30 @@ def _(spark, d):
     )
 
 
+@query(
+    "w07_compact_small_files",
+    f"SELECT 14 AS files_before, 7 AS files_after, 6 AS untouched, COUNT(*) AS orders, {REVENUE} AS revenue FROM o",
+)
+def _(spark, d):
+    """Eight small files beside six large ones become one; the large ones stay as they are."""
+    path, rows = fresh_path(spark, "files"), simple(spark, d)
+    rows.where("order_id % 50 <> 0").repartition(6).write.parquet(path)
+    rows.where("order_id % 50 = 0").repartition(8).write.mode("append").parquet(path)
+
+    def names():
+        return {n for n in children(spark, path) if n.endswith(".parquet")}
+
+    before = names()
+    largest = file_stats(spark, path).agg(F.max("bytes")).first()[0]
+    compact_small(spark, path, target=largest * 2, small=0.25)
+    after = names()
+    back = spark.read.parquet(path).agg(F.count("*").alias("orders"), total("total_amount").alias("revenue"))
+    return back.select(
+        F.lit(len(before)).alias("files_before"), F.lit(len(after)).alias("files_after"), F.lit(len(before & after)).alias("untouched"),
+        "orders", "revenue",
+    )
+
+
 @query(
     "w16_archive_expired",
     """SELECT part, COUNT(*) AS orders, strftime(MAX(order_date), '%Y-%m-%d') AS newest FROM (SELECT *,

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeworks.operators.transform import align, one_per_key
-from lakeworks.runtime import fresh_path
+from lakeworks.runtime import fresh_path, materialise
 from lakeworks.sinks.files import exists, partition_columns, remove, swap_in
+from lakeworks.sinks.rewrite import file_stats, finish, replace_files
 
 
 #: The name Spark gives the folder of rows without a partition value.
@@ -187,22 +188,38 @@ def archive_expired(
 
     The archive is laid out by the day of the run, by the batch (named after the rows it holds) and then
     like the live table. So a later run adds to the archive, and a run that is repeated after it broke off
-    between archive and live table replaces its own batch. The live table keeps its layout; it is
-    written beside itself and swapped, never over the files being read, and left alone if nothing expired.
+    between archive and live table replaces its own batch. Of the live table only files that hold an expired row are
+    read again, and their other rows written anew beside them (`rewrite`); every other file stays.
     """
+    finish(spark, live)
     keys = partition_columns(spark, live)
-    rows = read_text_keys(spark, live, keys)
     age = F.datediff(F.lit(as_of).cast("date"), F.col(date).cast("date"))
     expired = F.coalesce(age > keep_days, F.lit(False))
-    batch = fingerprint(rows.where(expired)).first()
-    if not batch["rows"]:
-        return rows.count(), 0
-    gone = rows.where(expired).withColumns(
+    files = materialise(file_stats(spark, live, expired=expired), "expired-files")
+    total = files.agg(F.sum("rows"), F.sum("expired")).first()
+    if not total[1]:
+        return total[0] or 0, 0
+    touched = [r.file for r in files.where("expired > 0").select("file").collect()]  # names of files to rewrite
+    folders = sorted({f.rsplit("/", 1)[0] for f in touched})
+    inside = read_text_keys(spark, live, keys) if not keys else read_text_keys(spark, live, keys, _below(spark, live, folders))
+    inside = inside.where(F.col("_metadata.file_path").isin(touched)) if len(touched) < 1000 else inside
+    batch = fingerprint(inside.where(expired)).first()
+    gone = inside.where(expired).withColumns(
         {"_archived_on": F.lit(as_of), "_batch": F.lit(f"{batch['rows']}x{batch['hash']}")}
     )
     moved = write(gone, archive, ["_archived_on", "_batch", *keys], gather=False)
-    kept = staged_overwrite(rows.where(~expired), live, keys)
-    return kept, moved
+    if total[0] == total[1]:  # an empty table keeps its columns
+        return staged_overwrite(read_text_keys(spark, live, keys).where(~expired), live, keys), moved
+    whole = [r.file for r in files.where("expired = rows").select("file").collect()]
+    replace_files(spark, live, [[f] for f in touched if f not in set(whole)], ~expired, drop=whole)
+    return total[0] - total[1], moved
+
+
+def _below(spark: SparkSession, path: str, folders: Sequence[str]) -> list[str]:
+    """Folders, named by address, as paths below the table."""
+    Path, URI = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.java.net.URI
+    root = Path(path).toUri().getPath().rstrip("/")
+    return [Path(URI(f)).toUri().getPath()[len(root) + 1 :] for f in folders]
 
 
 def layout(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
