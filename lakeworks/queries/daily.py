@@ -10,7 +10,7 @@ from lakeworks.operators.joins import enrich, revenue_by
 from lakeworks.operators.transform import union_all
 from lakeworks.plans import daily, medallion, metrics
 from lakeworks.plans.feeds import land_days, land_legacy, land_pages, land_parquet, product_rows, sale_rows
-from lakeworks.plans.reports import kept, three_reports
+from lakeworks.plans.reports import kept, three_reports, three_reports_below_joins
 from lakeworks.plans.sales import AS_OF, customers, lines_fact, orders_fact, products, sales
 from lakeworks.quality.defects import DIRTY_SQL, inject
 from lakeworks.queries.aggregates import REVENUE, TICKET
@@ -298,11 +298,15 @@ THREE = f"""WITH names AS (SELECT DISTINCT CAST(ceil(product_id / 500) AS BIGINT
   UNION ALL SELECT 'customer', customer_name, spent, place FROM r WHERE place <= 100"""
 
 
-def base_of(spark, d):
+def category_names(spark, d):
     names = products(spark, d).select(
         category_key("product_id").alias("category_id"), F.ceil(F.col("product_id") / 500).alias("n")
     ).distinct()
-    names = names.select("category_id", F.concat(F.lit("Category "), "n").alias("category_name"))
+    return names.select("category_id", F.concat(F.lit("Category "), "n").alias("category_name"))
+
+
+def base_of(spark, d):
+    names = category_names(spark, d)
     fact = lines_fact(spark, d).withColumn("category_id", category_key("product_id"))
     fact = fact.join(customers(spark, d), "customer_id", "left")
     fact = enrich(fact, names, ["category_id"], {"category_name": "Sem Categoria"})
@@ -331,6 +335,16 @@ def _(spark, d):
     return spark.read.parquet(path)
 
 
+@query("l13_three_reports_below_joins", THREE)
+def _(spark, d):
+    """The sums made below the joins, nothing kept in memory."""
+    path = fresh_path(spark, "reports")
+    fact = lines_fact(spark, d).withColumn("category_id", category_key("product_id"))
+    reports = three_reports_below_joins(fact, customers(spark, d), category_names(spark, d), "Sem Categoria")
+    stacked(reports).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("l13_three_reports_recomputed", THREE)
 def _(spark, d):
     """The same without keeping the base, for comparison."""
