@@ -96,7 +96,7 @@ class Transducer:
         self.letter_and_stop = rf"(\p{{L}})([{re.escape(self.stops)}])" if self.stops else None
         # a token without a piece is spelt in bytes
         self.id_at = np.array([self.id_of.get(t, -1) for t in self.paths.tokens], np.int32)
-        self.known = Known(self._teach, np.uint16 if len(model.pieces) <= 1 << 16 else np.int32, 300_000)
+        self.known = Known(self._teach, np.uint16 if len(model.pieces) <= 1 << 16 else np.int32, 150_000)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each word has, and all ids."""
@@ -133,6 +133,7 @@ class Transducer:
         """Give the memory of words and borders back, for the worker's next task may be another's."""
         self.known.forget()
         self.paths.forget()
+        pa.default_memory_pool().release_unused()
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty), and how many each has."""
