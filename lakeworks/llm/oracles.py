@@ -67,3 +67,26 @@ WITH corpus AS MATERIALIZED (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed
 """
+
+DECONTAMINATION = f"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k,
+         unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS g
+  FROM items WHERE len(w) > 0
+), runs AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+), hits AS MATERIALIZED (
+  SELECT doc_id, i, k, item_id FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM runs) JOIN windows USING (k, g)
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -91,6 +91,9 @@ def op5_decontamination(spark, sf_dir):
     return found.drop("spans")
 
 
+ORACLES["op5_decontamination"] = oracles.DECONTAMINATION
+
+
 @query
 def op6_token_files(spark, sf_dir):
     """All documents as token files, read back: offsets, sizes and checksums of the ids."""
