@@ -20,10 +20,11 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate(([0], np.cumsum(sizes)))
 
 
-def trigrams(codes: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+def trigrams(codes: np.ndarray, starts: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     """Bins of the letter trigrams and whether each counts: at least its middle and one more is a letter.
 
-    Other characters are one and the same; the last two positions have no trigram and do not count.
+    Other characters are one and the same; a trigram that begins behind a text's last character is the next text's and
+    does not count, nor do the last two positions.
     """
     alpha = letters()[codes]
     plain = np.where(alpha, codes, 0).astype(np.uint32)
@@ -32,4 +33,5 @@ def trigrams(codes: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
     index[:-2] = (mixed ^ (mixed >> np.uint32(15))) & np.uint32(bins - 1)
     counts = np.zeros(len(codes), bool)
     counts[:-2] = alpha[1:-1] & (alpha[:-2] | alpha[2:])
+    counts[starts[1:] - 1] = False
     return index, counts

@@ -53,8 +53,8 @@ def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
         for batch in in_slices(batches):
             texts, labels = (batch.column(i).to_pylist() for i in (0, 1))
             for language in set(labels):
-                codes, _ = code_points([t.lower() for t, x in zip(texts, labels, strict=True) if x == language])
-                index, counts = trigrams(codes, BINS)
+                codes, starts = code_points([t.lower() for t, x in zip(texts, labels, strict=True) if x == language])
+                index, counts = trigrams(codes, starts, BINS)
                 seen.setdefault(language, np.zeros(BINS, np.int64))
                 seen[language] += np.bincount(index[counts], minlength=BINS)
         for language, found in seen.items():
@@ -82,7 +82,7 @@ def with_likelihoods(df: DataFrame, text: str, model: np.ndarray, temper: float,
         table = shared.value
         for batch in in_slices(batches, 2 << 20):
             codes, starts = code_points([t.lower() if t else "" for t in batch.column(at).to_pylist()])
-            index, counts = trigrams(codes, BINS)
+            index, counts = trigrams(codes, starts, BINS)
             sums = [np.add.reduceat(np.where(counts, line[index], 0), starts[:-1], dtype=np.float64) for line in table]
             likely = np.stack(sums, 1) * temper
             flat = np.hstack([likely, _shares(likely)[:, :-1], np.add.reduceat(counts.astype(float), starts[:-1])[:, None]])
