@@ -107,6 +107,20 @@ def validity(
     return Check(name, share(F.count_if(every), F.count("*"), 1.0), threshold, severity, details)
 
 
+def format_rules(
+    column: str, length: tuple[int, int] | None = None, pattern: str | None = None, codes: Iterable[str] | None = None
+) -> dict[str, Column]:
+    """Rules on how a text is written, for `validity` and `mark`: its length, a pattern that all of it fits, a list of codes."""
+    value, rules = F.col(column), {}
+    if length:
+        rules[f"{column}_length"] = F.length(value).between(*length)
+    if pattern:
+        rules[f"{column}_pattern"] = value.rlike(rf"\A(?:{pattern})\z")
+    if codes is not None:
+        rules[f"{column}_code"] = value.isin(list(codes))
+    return rules
+
+
 def domain(column: str, allowed: Iterable[str], null_ok: bool = False, threshold: float = 1.0, severity: str = "warning") -> Check:
     """Share of rows whose value is one of the accepted ones."""
     ok = holds(F.col(column).isin(list(allowed)), null_ok)

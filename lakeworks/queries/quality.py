@@ -253,6 +253,38 @@ def _(spark, d):
     return results.select(F.explode("details").alias("rule", "rate")).withColumn("rate", F.col("rate").cast("double"))
 
 
+#: Customers whose names and segments are written in several wrong ways.
+WRITTEN = """w AS (SELECT customer_id, CASE customer_id % 40 WHEN 1 THEN substr(customer_name, 1, 12) WHEN 2 THEN lower(customer_name)
+    WHEN 3 THEN NULL WHEN 4 THEN customer_name || ' ' ELSE customer_name END AS customer_name,
+    CASE customer_id % 25 WHEN 7 THEN 'OTHER' WHEN 8 THEN '' ELSE segment END AS segment FROM c)"""
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query(
+    "q13_format_rules",
+    f"""WITH {WRITTEN}, ok AS (SELECT coalesce(length(customer_name) BETWEEN 18 AND 18, FALSE) AS customer_name_length,
+       coalesce(regexp_full_match(customer_name, 'Customer#[0-9]{{9}}'), FALSE) AS customer_name_pattern,
+       coalesce(segment IN {SEGMENTS}, FALSE) AS segment_code FROM w),
+       r AS (UNPIVOT ok ON customer_name_length, customer_name_pattern, segment_code INTO NAME rule VALUE good)
+       SELECT rule, {rate4('COUNT(*) FILTER (good)::DOUBLE / COUNT(*)')} AS rate, COUNT(*) FILTER (NOT good) AS broken FROM r GROUP BY rule""",
+)
+def _(spark, d):
+    """Length, pattern and code list, as rates of the check and as reasons of the rows."""
+    k = F.col("customer_id") % 40
+    name = F.col("customer_name")
+    name = (
+        F.when(k == 1, F.substring(name, 1, 12)).when(k == 2, F.lower(name)).when(k == 3, None).when(k == 4, F.concat(name, F.lit(" ")))
+        .otherwise(name)
+    )
+    part = F.col("customer_id") % 25
+    segment = F.when(part == 7, "OTHER").when(part == 8, "").otherwise(F.col("segment"))
+    rows = customers(spark, d).select("customer_id", name.alias("customer_name"), segment.alias("segment"))
+    rules = {**q.format_rules("customer_name", (18, 18), r"Customer#\d{9}"), **q.format_rules("segment", codes=SEGMENTS)}
+    rates = q.run_rowwise(rows, [q.validity(rules)]).select(F.explode("details").alias("rule", "rate"))
+    broken = qt.mark(rows, rules).select(F.explode("_reasons").alias("rule")).groupBy("rule").agg(F.count("*").alias("broken"))
+    return rates.join(broken, "rule", "left").select("rule", F.col("rate").cast("double").alias("rate"), F.coalesce("broken", F.lit(0)).cast("long").alias("broken"))
+
+
 @query(
     "q14_rules_checked_first",
     X + """ SELECT 'good' AS rule, TRUE AS ok, NULL AS error, COUNT(*) FILTER (total_amount > 0)::DOUBLE / COUNT(*) AS rate FROM x
