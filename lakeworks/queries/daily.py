@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from lakeworks.functions.columns import category_key
 from lakeworks.operators.joins import enrich, revenue_by
 from lakeworks.operators.transform import union_all
 from lakeworks.plans import daily, medallion, metrics
@@ -298,16 +297,19 @@ THREE = f"""WITH names AS (SELECT DISTINCT CAST(ceil(product_id / 500) AS BIGINT
   UNION ALL SELECT 'customer', customer_name, spent, place FROM r WHERE place <= 100"""
 
 
+def category_number():
+    """The category itself: its two-digit text key (`category_key`) names several from the hundredth on."""
+    return F.ceil(F.col("product_id") / 500)
+
+
 def category_names(spark, d):
-    names = products(spark, d).select(
-        category_key("product_id").alias("category_id"), F.ceil(F.col("product_id") / 500).alias("n")
-    ).distinct()
-    return names.select("category_id", F.concat(F.lit("Category "), "n").alias("category_name"))
+    names = products(spark, d).select(category_number().alias("category_id")).distinct()
+    return names.select("category_id", F.concat(F.lit("Category "), "category_id").alias("category_name"))
 
 
 def base_of(spark, d):
     names = category_names(spark, d)
-    fact = lines_fact(spark, d).withColumn("category_id", category_key("product_id"))
+    fact = lines_fact(spark, d).withColumn("category_id", category_number())
     fact = fact.join(customers(spark, d), "customer_id", "left")
     fact = enrich(fact, names, ["category_id"], {"category_name": "Sem Categoria"})
     return fact.select("total_amount", "customer_id", "customer_name", "shipping_state", "category_name")
@@ -339,7 +341,7 @@ def _(spark, d):
 def _(spark, d):
     """The sums made below the joins, nothing kept in memory."""
     path = fresh_path(spark, "reports")
-    fact = lines_fact(spark, d).withColumn("category_id", category_key("product_id"))
+    fact = lines_fact(spark, d).withColumn("category_id", category_number())
     reports = three_reports_below_joins(fact, customers(spark, d), category_names(spark, d), "Sem Categoria")
     stacked(reports).write.parquet(path)
     return spark.read.parquet(path)
