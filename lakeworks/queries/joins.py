@@ -207,11 +207,15 @@ def _(spark, d):
     out = joins.enrich(
         fact, known(spark, d), ["customer_id"], {"customer_name": NO_NAME, "segment": NO_SEGMENT}
     )
-    out = joins.enrich(out, joins.small_side(named), ["category_id"], {"category_name": NO_CATEGORY})
-    return out.groupBy("category_name", "segment").agg(
+    # added up by key before the names join: a two-digit key has many names in a large table, and lines are not repeated
+    sums = out.groupBy("category_id", "segment").agg(
         F.count("*").alias("orders"),
         F.count_if(F.col("customer_name") == NO_NAME).alias("no_name"),
-        F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("revenue"),
+    )
+    out = joins.enrich(sums, named, ["category_id"], {"category_name": NO_CATEGORY})
+    return out.groupBy("category_name", "segment").agg(
+        F.sum("orders").alias("orders"), F.sum("no_name").alias("no_name"), F.sum("revenue").cast("double").alias("revenue")
     )
 
 

@@ -26,3 +26,15 @@ def numbered(tmp_path_factory):
 )
 def test_categories_beyond_two_digits(spark, numbered, name):
     assert compare(QUERIES[name](spark, numbered), database(numbered), ORACLES[name]) is None
+
+
+def plan(df, kind):
+    return str(getattr(df._jdf.queryExecution(), kind)()).splitlines()
+
+
+def test_lines_are_added_up_before_names(spark, numbered):
+    df = QUERIES["j13_three_sources_with_defaults"](spark, numbered)
+    assert compare(df, database(numbered), ORACLES["j13_three_sources_with_defaults"]) is None
+    nodes = [line for line in plan(df, "optimizedPlan") if "Join" in line or "Aggregate" in line]
+    with_names = next(i for i, line in enumerate(nodes) if "Join" in line)
+    assert "Aggregate [category_id" in nodes[with_names + 1]
