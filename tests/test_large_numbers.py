@@ -38,3 +38,9 @@ def test_lines_are_added_up_before_names(spark, numbered):
     nodes = [line for line in plan(df, "optimizedPlan") if "Join" in line or "Aggregate" in line]
     with_names = next(i for i, line in enumerate(nodes) if "Join" in line)
     assert "Aggregate [category_id" in nodes[with_names + 1]
+
+
+def test_one_sketch_for_all_rows(spark, numbered):
+    df = QUERIES["a05_approximate_distinct_within_bound"](spark, numbered)
+    sketches = [line for line in plan(df, "executedPlan") if "approx_count_distinct" in line and "HashAggregate" in line]
+    assert sketches and all("keys=[]" in line for line in sketches)
