@@ -44,3 +44,8 @@ def test_one_sketch_for_all_rows(spark, numbered):
     df = QUERIES["a05_approximate_distinct_within_bound"](spark, numbered)
     sketches = [line for line in plan(df, "executedPlan") if "approx_count_distinct" in line and "HashAggregate" in line]
     assert sketches and all("keys=[]" in line for line in sketches)
+
+
+def test_the_list_is_broadcast_not_the_orders(spark, numbered):
+    df = QUERIES["s15_rows_from_a_list"](spark, numbered)
+    assert any("BroadcastHashJoin" in line and "BuildRight" in line for line in plan(df, "executedPlan"))
