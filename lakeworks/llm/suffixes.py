@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.shingles import run_hashes, word_counts, word_hashes
-from lakeworks.llm.texts import clean, cut_words, in_slices, joined
+from lakeworks.llm.texts import clean, cut_words, in_slices, joined, then_freed
 from lakeworks.runtime import materialise
 
 
@@ -126,7 +126,7 @@ def _with_first(places: DataFrame, kind: str, name: str) -> DataFrame:
     order = ["hash", "doc_id", "uid", "place"]
     matched = materialise(
         places.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-            _neighbours,
+            lambda b: then_freed(_neighbours(b)),
             f"hash long, uid long, place int, head_uid long, head_place int, more boolean, doc_id {kind}, border boolean",
         ),
         name,
@@ -253,12 +253,12 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
     rows = clean(df, doc_id=key, text=text).select(F.xxhash64("doc_id", "text").alias("uid"), "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     sampled = materialise(
-        rows.mapInArrow(lambda b: _sampled(b, how), f"hash long, doc_id {kind}, uid long, place int"), "suffixes"
+        rows.mapInArrow(lambda b: then_freed(_sampled(b, how)), f"hash long, doc_id {kind}, uid long, place int"), "suffixes"
     )
     pairs = _with_first(sampled, kind, "neighbours")
     runs = materialise(
         pairs.where("uid != head_uid").groupBy("uid").agg(F.collect_list(F.struct("place", "head_uid", "head_place")).alias("m"))
-        .mapInArrow(lambda b: _runs(b, how), "uid long, first int, last int, head_uid long, head_first int"),
+        .mapInArrow(lambda b: then_freed(_runs(b, how)), "uid long, first int, last int, head_uid long, head_first int"),
         "runs",
     )
     keyed = df.select(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("uid"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)))
@@ -268,7 +268,7 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
         F.collect_list(F.struct("head_first", "span")).alias("wanted")
     )
     around = keyed.join(wanted, keyed["uid"] == wanted["head_uid"]).select("uid", f"c{at}", "wanted").mapInArrow(
-        lambda b: _contexts(b, how), "head_uid long, head_first int, span int, left binary, right binary"
+        lambda b: then_freed(_contexts(b, how)), "head_uid long, head_first int, span int, left binary, right binary"
     )
     around = materialise(around.dropDuplicates(["head_uid", "head_first", "span"]), "contexts")
     lists = spanned.join(around, ["head_uid", "head_first", "span"]).groupBy("uid").agg(
@@ -279,7 +279,7 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
         "uid", F.col(f"c{kept.index(key)}").alias("doc_id"), F.col(f"c{at}").alias("text"), "runs", "open"
     )
     found = materialise(
-        found.mapInArrow(lambda b: _spans_and_windows(b, how), f"hash long, doc_id {kind}, uid long, place int, end int"), "spans"
+        found.mapInArrow(lambda b: then_freed(_spans_and_windows(b, how)), f"hash long, doc_id {kind}, uid long, place int, end int"), "spans"
     )
     windows = _with_first(found.where("end = 0").drop("end"), kind, "windows").where("uid != head_uid")
     spans = found.where("end > 0").select("uid", F.col("place").alias("first"), "end").unionByName(
@@ -307,5 +307,5 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id", how: Suffixe
             )
 
     schema = ", ".join(f"c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(kept))
-    out = whole.mapInArrow(cut, f"{schema}, n_words long, n_cut long, cut_spans array<struct<first:int,end:int>>")
+    out = whole.mapInArrow(lambda b: then_freed(cut(b)), f"{schema}, n_words long, n_cut long, cut_spans array<struct<first:int,end:int>>")
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(kept)), *made)

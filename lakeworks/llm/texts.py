@@ -18,11 +18,18 @@ WORD_BYTES = bytes(
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Pass rows to Python in batches of a thousand where the session has Spark's default of ten thousand:
-    rows hold whole texts, and a batch lies in memory on both sides."""
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(setting) == "10000":
-        spark.conf.set(setting, "1000")
+    """Pass rows to Python in batches of a thousand and of two megabytes where the session has Spark's defaults of ten
+    thousand and 64: rows hold whole texts or long lists, and a batch lies in memory on both sides."""
+    arrow = "spark.sql.execution.arrow"
+    for setting, default, most in (("maxRecordsPerBatch", "10000", "1000"), ("maxBytesPerBatch", "67108864b", "2097152b")):
+        if spark.conf.get(f"{arrow}.{setting}") == default:
+            spark.conf.set(f"{arrow}.{setting}", most)
+
+
+def then_freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's batches, and after them Arrow's unused memory given back: the worker's next task may be another's."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,0 +1,17 @@
+"""Rows pass to Python in batches that are bounded in bytes too."""
+
+import pyarrow as pa
+
+from lakeworks.llm.texts import small_batches
+
+
+def test_long_rows_make_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "rows"])
+
+    small_batches(spark)
+    texts = spark.range(2000, numPartitions=1).selectExpr("repeat('x', 20000) AS text")
+    found = texts.mapInArrow(sizes, "bytes long, rows long").collect()
+    assert sum(r["rows"] for r in found) == 2000
+    assert max(r["bytes"] for r in found) < 3 << 20
