@@ -61,7 +61,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the decoded text's digest and whether it is the text."""
     model = place("piece_bpe_32k.model")
-    return sentencepiece_fst.digests(sentencepiece_fst.encode(docs, model), model, with_ids=True)
+    return sentencepiece_fst.encoded_digests(docs, model, with_ids=True)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.llm.characters import code_points, trigrams
@@ -72,11 +72,10 @@ def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     return languages, np.array([*model, np.full(BINS, -np.log(BINS))], np.float32)
 
 
-def with_likelihoods(df: DataFrame, text: str, model: np.ndarray, temper: float, name: str) -> DataFrame:
-    """`df` with a list column: the text's tempered log-likelihood in each language and in none, then the
-    share of each language by these alone, then the number of trigrams."""
-    at = df.columns.index(text)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # languages times BINS
+def likelihoods(spark: SparkSession, at: int, model: np.ndarray, temper: float, name: str):
+    """A step over batches that adds a list column to them: the tempered log-likelihood of the text in column `at` in
+    each language and in none, then the share of each language by these alone, then the number of trigrams."""
+    shared = spark.sparkContext.broadcast(model)  # languages times BINS
 
     def measured(batches):
         table = shared.value
@@ -90,7 +89,7 @@ def with_likelihoods(df: DataFrame, text: str, model: np.ndarray, temper: float,
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, name])
 
-    return df.mapInArrow(measured, f"{_schema(df)}, `{name}` array<double>")
+    return measured
 
 
 def _schema(df: DataFrame) -> str:
@@ -122,13 +121,14 @@ def identify(
     clues = (F.coalesce((F.lit("") if x is None else x).cast("string"), F.lit("")) for x in clues)
     work = df.select(*(F.col(f"`{c}`") for c in kept), *clues)
     work = work.toDF(*(f"c{i}" for i in range(len(kept))), "host", "suffix", "declared")
-    work = with_likelihoods(work, f"c{kept.index(text)}", model, fusion.temper, "found")
+    measured = likelihoods(df.sparkSession, kept.index(text), model, fusion.temper, "found")
     own = [F.col(c) for c in work.columns[: len(kept)]]
     host_, suffix_, declared_, found = (F.col(c) for c in ("host", "suffix", "declared", "found"))
 
     # soft counts: how the rows with letters read, by host; last their number
     counts = [F.sum(found[size + 1 + i]) for i in range(size)] + [F.count("*").cast("double")]
-    hosts = work.where(found[2 * size + 1] > 0).groupBy(suffix_.alias("s"), host_.alias("h")).agg(F.array(*counts).alias("here"))
+    read = work.mapInArrow(measured, f"{_schema(work)}, found array<double>")
+    hosts = read.where(found[2 * size + 1] > 0).groupBy(suffix_.alias("s"), host_.alias("h")).agg(F.array(*counts).alias("here"))
     hosts = materialise(hosts, "language-hosts")
 
     def total() -> Column:
@@ -142,14 +142,14 @@ def identify(
     )
     none = F.array(*[F.lit(0.0)] * (size + 1))
     joined = work.join(priors, ["suffix", "host"], "left").select(
-        *own, suffix_, declared_, found, F.coalesce("here", none).alias("here"), F.coalesce("near", none).alias("near")
+        *own, suffix_, declared_, F.coalesce("here", none).alias("here"), F.coalesce("near", none).alias("near")
     )
 
     def fused(batches):
-        for batch in (b for b in batches if b.num_rows):
+        for batch in measured(batches):  # in the same worker: two steps over Arrow would take two workers for each task
             said = [batch.column(len(kept) + i).to_pylist() for i in (0, 1)]
-            lists = [batch.column(len(kept) + i).values.to_numpy() for i in (2, 3, 4)]
-            given, own_host, own_suffix = (x.reshape(batch.num_rows, -1) for x in lists)
+            lists = [batch.column(len(kept) + i).flatten().to_numpy() for i in (2, 3, 4)]
+            own_host, own_suffix, given = (x.reshape(batch.num_rows, -1) for x in lists)
             likely, share, told = given[:, : size + 1], given[:, size + 1 : -1], given[:, -1] > 0
             self_ = np.hstack([share, np.ones((len(share), 1))]) * told[:, None]  # a row is no prior of its own
             own_host, own_suffix = np.maximum(own_host - self_, 0), np.maximum(own_suffix - self_, 0)

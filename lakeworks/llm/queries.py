@@ -112,7 +112,7 @@ def op7_token_counts(spark, sf_dir):
 def op8_sentencepiece(spark, sf_dir):
     """Every document encoded and decoded again."""
     model = place("piece_bpe_32k.model")
-    return sentencepiece_fst.digests(sentencepiece_fst.encode(table(spark, sf_dir, "documents"), model), model)
+    return sentencepiece_fst.encoded_digests(table(spark, sf_dir, "documents"), model)
 
 
 @query

@@ -186,34 +186,47 @@ def encode(df: DataFrame, model: str, text: str = "text", key: str = "doc_id") -
     )
 
 
+def _checked(batches, model: str, with_ids: bool):
+    coder = decoder(model)
+    for batch in in_slices(batches, 2 << 20):
+        ids = batch.column(2)
+        ends = ids.offsets.to_numpy()[1:] - ids.offsets[0].as_py()
+        texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()]
+        rows = coder.rows(ids.flatten().to_numpy(), ends)
+        same = [a == b for a, b in zip(rows, texts, strict=True)]
+        shown = [r if s else r.decode("utf-8", "replace").encode() for r, s in zip(rows, same, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array(np.diff(ends, prepend=0), pa.int64()),
+                pa.array(list_crc32(ids), pa.int64()),
+                pa.array([hashlib.sha256(t).hexdigest() for t in shown]),
+                pa.array(same),
+                *([ids] if with_ids else []),
+            ],
+            ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip", *(["ids"] if with_ids else [])],
+        )
+
+
+def _digest_schema(kind: str, with_ids: bool) -> str:
+    return f"doc_id {kind}, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * with_ids
+
+
 def digests(encoded: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
     """Per row of `encode`'s result: doc_id, n_pieces, ids_crc32, the sha256 of the text decoded from the
     ids, and whether that text is the one encoded (null counts as empty); with the ids too if wanted."""
-    more = ["ids"] if with_ids else []
-
-    def checked(batches):
-        coder = decoder(model)
-        for batch in in_slices(batches, 2 << 20):
-            ids = batch.column(2)
-            ends = ids.offsets.to_numpy()[1:] - ids.offsets[0].as_py()
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()]
-            rows = coder.rows(ids.flatten().to_numpy(), ends)
-            same = [a == b for a, b in zip(rows, texts, strict=True)]
-            shown = [r if s else r.decode("utf-8", "replace").encode() for r, s in zip(rows, same, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(np.diff(ends, prepend=0), pa.int64()),
-                    pa.array(list_crc32(ids), pa.int64()),
-                    pa.array([hashlib.sha256(t).hexdigest() for t in shown]),
-                    pa.array(same),
-                    *([ids] if with_ids else []),
-                ],
-                ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip", *more],
-            )
-
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "text", "ids").mapInArrow(
-        checked,
-        f"doc_id {kind}, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean" + ", ids array<int>" * with_ids,
+        lambda batches: _checked(batches, model, with_ids), _digest_schema(kind, with_ids)
+    )
+
+
+def encoded_digests(df: DataFrame, model: str, text: str = "text", key: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """`digests` of `encode`'s result, both in one pass over the rows: as two steps they would take two Python
+    workers for each task, and texts and ids would pass through the JVM between them."""
+    rows = clean(df, doc_id=key, text=text)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(
+        lambda batches: _checked(_encoded(batches, model, ["doc_id", "text"], "text"), model, with_ids),
+        _digest_schema(kind, with_ids),
     )

@@ -4,6 +4,7 @@ import pytest
 import sentencepiece
 
 import corpus_pipeline
+from lakeworks.llm import language, sentencepiece_fst
 from lakeworks.llm.texts import words_of
 from lakeworks.llm.token_counts import place
 
@@ -72,3 +73,38 @@ def test_stages_keep_odd_rows_going(spark, corpus, odd):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, corpus[0])
     assert docs.count() >= 2
+
+
+def python_steps(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+
+
+def test_one_python_worker_a_task(spark, make):
+    """Two steps over Arrow in one task keep two workers alive, in an executor of two cores four."""
+    docs = make([(i, " ".join(prose(i, 40))) for i in range(20)])
+    languages, model = language.train(docs, "text", "lang")
+    assert python_steps(language.identify(docs, languages, model, host="source")) == 1
+    assert python_steps(corpus_pipeline.encoded(spark, docs, "")) == 1
+
+
+def test_one_step_gives_what_two_give(spark, make, odd):
+    model = place("piece_bpe_32k.model")
+    two = sentencepiece_fst.digests(sentencepiece_fst.encode(odd, model), model, with_ids=True)
+    assert sorted(map(str, sentencepiece_fst.encoded_digests(odd, model, with_ids=True).collect())) == sorted(map(str, two.collect()))
+
+
+def test_languages_in_slices_of_a_batch(spark, make):
+    """A batch of more bytes than a slice: each row keeps the priors of its own host."""
+    rows = [(i, " ".join(prose(i % 7, 20 if i % 5 else 1500)), ("en", "fr", "de")[i % 7 % 3], f"h{i % 4}", 1) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    languages, model = language.train(docs, "text", "lang")
+
+    def found(size):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        return sorted((r.doc_id, r.language, round(r.posterior, 9)) for r in language.identify(docs, languages, model, host="source").collect())
+
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        assert found("10000") == found("1")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
