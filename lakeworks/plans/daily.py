@@ -50,7 +50,7 @@ def bronze(spark: SparkSession, incoming: str, lake: Lake, refs: Sequence[str],
         F.lit("daily_sales_v1").alias("_source"),
         when.alias("_ingestion_ts"),
         F.col("_metadata.file_path").alias("_file_origin"),
-        F.regexp_extract("_metadata.file_path", r"/([^/]+)/vendas\.parquet", 1).alias("_data_ref"),
+        F.substring_index(F.substring_index("_metadata.file_path", "/vendas.parquet", 1), "/", -1).alias("_data_ref"),
     )
     # a file holds one day, so its rows are together already
     return {"rows": write_refs(rows, lake.bronze, "_data_ref", refs, gather=False)}

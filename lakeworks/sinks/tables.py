@@ -82,9 +82,13 @@ def write_refs(
     stray = F.raise_error(F.concat(F.lit(f"{key} is none of those to write: "), F.coalesce(text, F.lit("null"))))
     df = df.withColumn(key, F.when(fits, text).otherwise(stray.cast("string")))
     gather = len(refs) > 1 if gather is None else gather
-    met = {"_refs": F.collect_set(key), "_without": F.count_if(F.col(key).isNull())}
-    found = write_observed(df, path, [key], met, gather=gather, **options)
-    there = {*found["_refs"], *([None] if found["_without"] else [])}
+    if len(set(refs)) == 1:  # any row is of that ref: its number tells, without a set fed by every row
+        found = write_observed(df, path, [key], {}, gather=gather, **options)
+        there = set(refs) if found["rows"] else set()
+    else:
+        met = {"_refs": F.collect_set(key), "_without": F.count_if(F.col(key).isNull())}
+        found = write_observed(df, path, [key], met, gather=gather, **options)
+        there = {*found["_refs"], *([None] if found["_without"] else [])}
     for ref in (r for r in refs if r not in there):
         folder = f"{path}/{key}={NO_VALUE if ref is None else ref}"
         if exists(df.sparkSession, folder):

@@ -214,3 +214,16 @@ def test_two_runs_of_a_day_give_the_same_files_content(spark, sf_dir, path):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_one_ref_is_told_by_the_number_of_rows(spark, path, monkeypatch):
+    """A single partition's write feeds no set with every row; without rows the partition goes."""
+    asked, p, observed = [], path(), tables.write_observed
+    monkeypatch.setattr(tables, "write_observed", lambda df, at, keys, met, **o: asked.append(met) or observed(df, at, keys, met, **o))
+    df = spark.createDataFrame([(1, "01"), (2, None)], "id long, m string")
+    tables.write_refs(df, p, "m", ["01", None])
+    for ref, left in (("01", {2}), (None, set())):
+        some = df.where("m = '01'" if ref else "m is null")
+        assert tables.write_refs(some, p, "m", [ref]) == 1 and tables.write_refs(some.limit(0), p, "m", [ref]) == 0
+        assert {r.id for r in spark.read.schema("id long, m string").parquet(p).collect()} == left
+    assert [bool(met) for met in asked] == [True, False, False, False, False]
