@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakeworks.operators.transform import one_per_key
 from lakeworks.plans.metrics import RunLog
 from lakeworks.quality import checks, gate, quarantine
-from lakeworks.runtime import build_session, materialise, mean, total
+from lakeworks.runtime import build_session, mean, total
 from lakeworks.sinks.tables import write_refs
 from lakeworks.sources.files import read_refs
 
@@ -62,12 +62,13 @@ def silver(spark: SparkSession, lake: Lake, refs: Sequence[str], ingested_at: st
     Rules come before deduplication, so a broken copy cannot push out a good one.
     """
     day = read_refs(spark, lake.bronze, "_data_ref", refs).withColumnRenamed("_data_ref", "data_ref")
-    # marked once: both halves read the written rows
+    # the rules look at one row each, so both halves mark Bronze's rows: cheaper than to write all of them once more
     valid, bad = quarantine.split(
-        materialise(quarantine.mark(day, RULES), "marked"), critical=[n for n in RULES if n.endswith("_missing")], at=ingested_at
+        quarantine.mark(day, RULES), critical=[n for n in RULES if n.endswith("_missing")], at=ingested_at
     )
     newest = ["_ingestion_ts", "order_date", "_file_origin", F.xxhash64(*valid.columns)]
-    kept = one_per_key(valid, ["data_ref", "order_id"], newest)
+    # the order first: rows are sorted by their keys, and a file's rows have the day in common
+    kept = one_per_key(valid, ["order_id", "data_ref"], newest)
     rejected = write_refs(bad, lake.quarantine, "data_ref", refs)
     return {"rows": write_refs(kept, lake.silver, "data_ref", refs), "rejected": rejected}
 

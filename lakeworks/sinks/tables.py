@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakeworks.operators.transform import align, one_per_key
 from lakeworks.runtime import fresh_path, materialise
-from lakeworks.sinks.files import exists, partition_columns, remove, swap_in
+from lakeworks.sinks.files import children, exists, partition_columns, remove, swap_in
 from lakeworks.sinks.rewrite import file_stats, finish, replace_files
 
 
@@ -73,7 +73,8 @@ def write_refs(
     comes: there is nothing to gather, and the rows save a shuffle.
 
     Dynamic overwrite leaves a partition alone when the frame has no rows for it; a ref that
-    became empty is therefore removed after the write. The refs met are collected on the way.
+    became empty is therefore removed after the write. Its folder tells: every write names its files anew, and a
+    folder without a new file was not written. So no row has to be looked at for it.
     """
     refs, named = list(refs), [r for r in refs if r is not None]
     text = F.col(key).cast("string")
@@ -82,17 +83,20 @@ def write_refs(
     stray = F.raise_error(F.concat(F.lit(f"{key} is none of those to write: "), F.coalesce(text, F.lit("null"))))
     df = df.withColumn(key, F.when(fits, text).otherwise(stray.cast("string")))
     gather = len(refs) > 1 if gather is None else gather
-    if len(set(refs)) == 1:  # any row is of that ref: its number tells, without a set fed by every row
+    spark, folders = df.sparkSession, {r: f"{key}={NO_VALUE if r is None else r}" for r in refs}
+    if len(folders) == 1:  # any row is of that ref: its number tells
         found = write_observed(df, path, [key], {}, gather=gather, **options)
         there = set(refs) if found["rows"] else set()
+        old = {r: f for r, f in folders.items() if r not in there and exists(spark, f"{path}/{f}")}
     else:
-        met = {"_refs": F.collect_set(key), "_without": F.count_if(F.col(key).isNull())}
-        found = write_observed(df, path, [key], met, gather=gather, **options)
-        there = {*found["_refs"], *([None] if found["_without"] else [])}
-    for ref in (r for r in refs if r not in there):
-        folder = f"{path}/{key}={NO_VALUE if ref is None else ref}"
-        if exists(df.sparkSession, folder):
-            remove(df.sparkSession, folder)
+        had = set(children(spark, path))
+        before = {r: set(children(spark, f"{path}/{f}")) for r, f in folders.items() if f in had}
+        found = write_observed(df, path, [key], {"_without": F.count_if(F.col(key).isNull())}, gather=gather, **options)
+        there = {None} if found["_without"] else set()
+        there |= {r for r, names in before.items() if set(children(spark, f"{path}/{folders[r]}")) - names}
+        old = {r: folders[r] for r in before if r not in there}
+    for folder in old.values():
+        remove(spark, f"{path}/{folder}")
     return found["rows"]
 
 

@@ -227,3 +227,14 @@ def test_one_ref_is_told_by_the_number_of_rows(spark, path, monkeypatch):
         assert tables.write_refs(some, p, "m", [ref]) == 1 and tables.write_refs(some.limit(0), p, "m", [ref]) == 0
         assert {r.id for r in spark.read.schema("id long, m string").parquet(p).collect()} == left
     assert [bool(met) for met in asked] == [True, False, False, False, False]
+
+
+def test_refs_met_are_told_by_new_files(spark, path, monkeypatch):
+    """No set is fed by every row; a partition without rows goes, the others and those not named stay."""
+    asked, p, observed = [], path(), tables.write_observed
+    monkeypatch.setattr(tables, "write_observed", lambda df, at, keys, met, **o: asked.append(met) or observed(df, at, keys, met, **o))
+    df = spark.createDataFrame([(1, "01"), (2, "02"), (3, None), (4, "04")], "id long, m string")
+    assert tables.write_refs(df, p, "m", ["01", "02", None, "04", "05"]) == 4
+    assert tables.write_refs(df.where("id = 2"), p, "m", ["01", "02", None, "05"]) == 1
+    assert {r.id for r in spark.read.schema("id long, m string").parquet(p).collect()} == {2, 4}
+    assert all(set(met) <= {"_without"} for met in asked)
