@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException, ParseException
 
 from lakeworks.functions.columns import exact_round
+from lakeworks.operators.frequent import key_hash
 from lakeworks.operators.joins import integrity_report
+from lakeworks.operators.skew import Cut, hot_hashes
 from lakeworks.operators.transform import union_all
 
 
@@ -209,15 +212,40 @@ def integrity(
     return run_rowwise(integrity_report(df, ref, fk, pk), [check])
 
 
-def copies_and_conflicts(df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+#: Rows of a task that counts them by key: what it holds in memory does not grow with the table.
+ROWS_A_TASK = 500_000
+
+
+def dealt(df: DataFrame, keys: Sequence[str], cut: Cut | None = None, rows_a_task: int = ROWS_A_TASK) -> list[DataFrame]:
+    """The rows in frames that share no key, for aggregates by the keys (and more): those of a large table dealt by
+    key to as many tasks as their number asks for, which adaptive execution does not join again. Rows of hot keys are a frame
+    of their own that is not dealt, so partial aggregates reduce them where they are."""
+    cut, rows = cut or Cut.default(df), df.count()
+    if rows <= cut.hot_rows:
+        return [df]
+    parts = ceil(rows / rows_a_task)
+    hot = hot_hashes(df, keys, cut)
+    if hot is None:
+        return [df.repartition(parts, *keys)]
+    is_hot = key_hash(keys) == F.col("_hash")
+    hot = F.broadcast(hot.select("_hash"))
+    return [df.join(hot, is_hot, "left_anti").repartition(parts, *keys), df.join(hot, is_hot, "left_semi")]
+
+
+def copies_and_conflicts(
+    df: DataFrame, keys: Sequence[str], ignore: Sequence[str] = (), cut: Cut | None = None
+) -> DataFrame:
     """One row: extra rows in all, those that are exact copies, and those that differ somewhere.
 
     Columns in `ignore` (an ingestion time, say) do not count as a difference.
     """
     content = [c for c in df.columns if c not in ignore]
-    rows = df.groupBy(*content).agg(F.count("*").alias("_n"))
-    per_key = rows.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.count("*").alias("_versions"))
-    return per_key.agg(
+
+    def per_key(some: DataFrame) -> DataFrame:
+        rows = some.groupBy(*content).agg(F.count("*").alias("_n"))
+        return rows.groupBy(*keys).agg(F.sum("_n").alias("_rows"), F.count("*").alias("_versions"))
+
+    return union_all([per_key(some) for some in dealt(df.select(*content), keys, cut)]).agg(
         F.sum(F.col("_rows") - 1).alias("extra_rows"),
         F.sum(F.col("_rows") - F.col("_versions")).alias("exact_copies"),
         F.sum(F.col("_versions") - 1).alias("conflicting_rows"),

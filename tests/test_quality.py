@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeworks.operators.joins import integrity_report, join_health, lost_value, orphans, repair, with_unknown_member
 from lakeworks.operators.skew import Cut
+from lakeworks.operators.transform import plan_text
 from lakeworks.quality import checks, gate, quarantine
 from lakeworks.schemas import CHECK_RESULTS
 
@@ -159,3 +160,23 @@ def test_laws(spark, rows):
     assert i["orphan_records"] == sum(r[1] is not None and r[1] not in (0, 1) for r in rows)
     rate = checks.run_rowwise(df, checks.completeness(df, ["amount"])).first()["details"]["nulls"]
     assert int(rate) == sum(r[2] is None for r in rows)
+
+
+def test_copies_are_counted_in_tasks_of_bounded_size(spark):
+    """A large table is dealt by key to tasks that grow with its rows; hot and null keys stay apart, all are counted."""
+    rows = [(i % 700, i % 3) for i in range(4000)] + [(9999, i % 7) for i in range(2000)] + [(None, 1)] * 1500
+    df = spark.createDataFrame(rows, "k int, v int")
+    cut = Cut(16, hot_rows=1000)
+    cold, hot = checks.dealt(df, ["k"], cut, rows_a_task=100)
+    assert cold.rdd.getNumPartitions() == 75 and {r.k for r in hot.distinct().collect()} >= {9999, None}
+    assert cold.count() + hot.count() == len(rows) and cold.select("k").intersect(hot.select("k")).isEmpty()
+    assert len(checks.dealt(df, ["k"], Cut(16, hot_rows=7500))) == 1
+    even = df.where("k < 700")
+    (one,) = checks.dealt(even, ["k"], cut, rows_a_task=100)
+    assert one.rdd.getNumPartitions() == 40
+    want = checks.copies_and_conflicts(df, ["k"], cut=Cut(16)).first()
+    keys, versions = len({k for k, _ in rows}), len(set(rows))
+    assert tuple(want)[:3] == (len(rows) - keys, len(rows) - versions, versions - keys)
+    assert checks.copies_and_conflicts(df, ["k"], cut=cut).first() == want
+    text = plan_text(checks.copies_and_conflicts(even, ["k"], cut=cut), "simple")
+    assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text  # nothing is joined again or shuffled twice
