@@ -21,6 +21,23 @@ def revenue_report(df: DataFrame, keys: Sequence[str], amount: str = "total_amou
     )
 
 
+def revenue_base(df: DataFrame, keys: Sequence[str], amount: str = "total_amount") -> DataFrame:
+    """Exact sums per group of all the keys, from which `revenue_report_from` makes the reports by some of them."""
+    return df.groupBy(*keys).agg(
+        F.sum(money(amount)).alias("_total"), F.count("*").alias("_orders"), F.count(amount).alias("_priced")
+    )
+
+
+def revenue_report_from(base: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`revenue_report` by some keys (or what follows from them) of a `revenue_base`, without another pass over the rows."""
+    revenue = F.sum("_total").cast("double")
+    return base.groupBy(*keys).agg(
+        revenue.alias("revenue"),
+        F.sum("_orders").alias("orders"),
+        F.try_divide(revenue, F.sum("_priced").cast("double")).alias("avg_ticket"),
+    )
+
+
 def panel(df: DataFrame, amount: str, customer: str) -> DataFrame:
     """The whole frame in one row."""
     return df.agg(

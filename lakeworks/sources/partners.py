@@ -37,7 +37,9 @@ def to_silver(bronze: DataFrame, legacy: bool = False) -> DataFrame:
     """Common names and types; dates in any of the accepted formats."""
     name = "data_pedido" if legacy else "order_date"
     if dict(bronze.dtypes)[name] == "string":
-        date = parse_date(F.substring(F.trim(name), 1, 10), LEGACY_DATE_FORMATS[:2])
+        day_first, year_first = LEGACY_DATE_FORMATS[:2]  # no text fits both; the feed's own form comes first, a misfit is dear
+        formats = (day_first, year_first) if legacy else (year_first, day_first)
+        date = parse_date(F.substring(F.trim(name), 1, 10), formats)
     else:
         date = F.col(name).cast("date")
     named = bronze.withColumn(name, date)

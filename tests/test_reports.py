@@ -5,8 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakeworks.operators import aggregates as agg
 from lakeworks.operators.joins import enrich
+from lakeworks.operators.transform import plan_text
+from lakeworks.plans.medallion import gold_tables
 from lakeworks.plans.reports import three_reports, three_reports_below_joins
+from lakeworks.schemas import SILVER
+from lakeworks.sources.partners import to_silver
 from tests.test_skew import same
 
 
@@ -24,3 +29,28 @@ def test_like_the_joined_base(spark, repeats):
         columns = sorted(want[name].columns)
         same(want[name].select(columns), found[name].select(columns))
     assert found["states"].agg(F.sum("orders")).first()[0] == base.count()
+
+
+def test_reports_from_one_base(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice(["x", "y"]), rng.randrange(4), rng.choice([None, 0.1, 2.35, 7.0])) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("c", "x", 9, None)], "state string, partner string, day int, total_amount double")
+    base = agg.revenue_base(df, ["state", "partner", "day"])
+    for keys in (["state"], ["partner", "day"], ["state", "partner", "day"]):
+        same(agg.revenue_report(df, keys), agg.revenue_report_from(base, keys))
+
+
+def test_gold_reports_read_silver_once(spark):
+    sales = spark.createDataFrame([], SILVER)
+    made = gold_tables(sales)
+    reports = ("daily_by_state", "by_state_and_partner", "monthly_by_partner")
+    assert all("gold-base" in plan_text(made[name]) for name in reports)
+
+
+def test_a_feeds_own_date_form_is_tried_first(spark):
+    rows = spark.createDataFrame([("1", " 2000-08-15 00:00:00"), ("2", "17/03/1995"), ("3", "no"), ("4", None)], "order_id string, order_date string")
+    silver = to_silver(rows)
+    text = plan_text(silver)
+    assert text.index("yyyy-MM-dd") < text.index("dd/MM/yyyy")
+    found = [str(r.order_date) for r in silver.orderBy("order_id").collect()]
+    assert found == ["2000-08-15", "1995-03-17", "None", "None"]
